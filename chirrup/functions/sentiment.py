@@ -10,14 +10,22 @@ def label_text(label: Column) -> Column:
 
 
 def polarity_category(score: Column) -> Column:
-    """Five bins over a polarity in [-1, 1]."""
-    return (
-        F.when(score >= 0.6, "strong positive")
-        .when(score > 0.1, "positive")
-        .when(score > -0.1, "neutral")
-        .when(score > -0.6, "negative")
-        .otherwise("strong negative")
-    )
+    """Five bins over a polarity in [-1, 1].
+
+    The score is bound once for all comparisons: repeated in each, it would be computed for each wherever Spark
+    puts a filter on the category next to the text.
+    """
+
+    def bins(value: Column) -> Column:
+        return (
+            F.when(value >= 0.6, "strong positive")
+            .when(value > 0.1, "positive")
+            .when(value > -0.1, "neutral")
+            .when(value > -0.6, "negative")
+            .otherwise("strong negative")
+        )
+
+    return F.transform(F.array(score), bins)[0]
 
 
 def differs(left: Column, right: Column) -> Column:

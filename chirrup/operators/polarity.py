@@ -1,8 +1,9 @@
 """Polarity of a text: the mean polarity of its words that a lexicon knows."""
 
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chirrup.functions.text import letter_tokens
@@ -49,36 +50,36 @@ def _entries(lexicon: DataFrame) -> DataFrame:
     )
 
 
-def _mean(total: Column, hits: Column) -> Column:
-    mean = F.when(hits > 0, total / hits).otherwise(0.0)
-    return F.round(mean, SCORE_DIGITS)
-
-
 def _score_by_vocabulary(
     df: DataFrame, text_col: str, words: list[str], polarities: list[float], score_col: str
 ) -> DataFrame:
-    bag = CountVectorizerModel.from_vocabulary(words, inputCol="_tokens", outputCol="_hits")
-    weigh = ElementwiseProduct(scalingVec=Vectors.dense(polarities), inputCol="_hits", outputCol="_weighted")
-    vectors = weigh.transform(bag.transform(df.withColumn("_tokens", letter_tokens(F.col(text_col)))))
-
-    def total(vector: str) -> Column:
-        return F.aggregate(F.unwrap_udt(vector)["values"], F.lit(0.0), lambda acc, value: acc + value)
+    """Word counts, scaled to shares of all known words of the text, times polarity: the sum is the mean polarity.
 
-    scored = vectors.withColumn(score_col, _mean(total("_weighted"), total("_hits")))
-    return scored.drop("_tokens", "_hits", "_weighted")
+    The score is one expression over the text that names each step once, so a filter that Spark moves below a
+    projection still tokenises a text once.
+    """
+    stages = [
+        CountVectorizerModel.from_vocabulary(words, inputCol="_tokens", outputCol="_hits"),
+        Normalizer(p=1.0, inputCol="_hits", outputCol="_shares"),
+        ElementwiseProduct(scalingVec=Vectors.dense(polarities), inputCol="_shares", outputCol="_parts"),
+    ]
+    vectors = PipelineModel(stages).transform(df.withColumn("_tokens", letter_tokens(F.col(text_col))))
+    total = F.aggregate(F.unwrap_udt("_parts")["values"], F.lit(0.0), lambda acc, part: acc + part)
+    return vectors.withColumn(score_col, F.round(total, SCORE_DIGITS)).drop("_tokens", "_hits", "_shares", "_parts")
 
 
 def _score_by_join(df: DataFrame, text_col: str, entries: DataFrame, score_col: str) -> DataFrame:
-    """Score each distinct text once, keyed by its digest, and join the scores back."""
+    """Score each distinct text once, keyed by its digest, and join the scores back.
+
+    Tokens keep their multiplicity; a word common to all texts is split by the adaptive skew join.
+    """
     digest = F.sha2(F.col(text_col), 256)
     texts = df.select(text_col).filter(F.col(text_col).isNotNull()).distinct()
     scores = (
         texts.select(digest.alias("_digest"), F.explode(letter_tokens(F.col(text_col))).alias("word"))
-        .groupBy("_digest", "word")
-        .agg(F.count("*").alias("hits"))
         .join(entries, on="word")
         .groupBy("_digest")
-        .agg(_mean(F.sum(F.col("polarity") * F.col("hits")), F.sum("hits")).alias(score_col))
+        .agg(F.round(F.avg("polarity"), SCORE_DIGITS).alias(score_col))
     )
     joined = df.withColumn("_digest", digest).join(scores, on="_digest", how="left").drop("_digest")
     return joined.withColumn(score_col, F.coalesce(score_col, F.lit(0.0)))
