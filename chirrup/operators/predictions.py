@@ -6,7 +6,7 @@ unit length per tweet. The penalty of the regression equals an inverse strength
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, RegexTokenizer
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, SQLTransformer
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +18,7 @@ MAX_ITER = 1000
 
 # Fixed value: a term is a run of at least two letters, digits or underscores, in any script.
 TERM_PATTERN = r"[\p{L}\p{N}_]{2,}"
+TERMS = f"regexp_extract_all(lower(tweet), r'{TERM_PATTERN}', 0)"
 
 
 def fit_predict(tweets: DataFrame, max_features: int = MAX_FEATURES, max_iter: int = MAX_ITER) -> DataFrame:
@@ -31,7 +32,7 @@ def fit(tweets: DataFrame, max_features: int = MAX_FEATURES, max_iter: int = MAX
         "tweet", F.col("label").cast("double").alias("label")
     )
     size = train.count()
-    terms = vocabulary(train, max_features).collect()
+    terms = vocabulary(train, max_features, size).collect()
     if not terms:
         raise ValueError("no labelled tweet with a term to fit on")
     weigher = tfidf([row.term for row in terms], [row.idf for row in terms])
@@ -55,32 +56,33 @@ def predict(model: PipelineModel, tweets: DataFrame) -> DataFrame:
     return scored.select("id", prediction_text(F.col("prediction")).alias("ml_sentiment"))
 
 
-def vocabulary(tweets: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
+def vocabulary(tweets: DataFrame, max_features: int = MAX_FEATURES, total: int | None = None) -> DataFrame:
     """The most frequent terms, ties in term order: `term, term_count, doc_count, idf`.
 
-    One pass yields both counts: each tweet emits its terms and, marked, its distinct terms. Counts are combined
-    before the shuffle and the cut is a distributed top-k.
+    One pass yields both counts: each tweet emits its terms, then its distinct terms, told apart by position. Counts
+    are combined before the shuffle and the cut is a distributed top-k. `total` is the number of texts, if known.
     """
-    texts = tweets.select("tweet").filter(F.col("tweet").isNotNull())
-    tokens = _tokenizer().transform(texts)
-    marked = F.concat(_marked("tokens", False), _marked(F.array_distinct("tokens"), True))
-    counts = (
-        tokens.select(F.inline(marked))
-        .groupBy("term")
-        .agg(F.count_if(~F.col("distinct")).alias("term_count"), F.count_if("distinct").alias("doc_count"))
+    texts = tweets.filter(F.col("tweet").isNotNull())
+    uses = texts.selectExpr(f"{TERMS} AS tokens").select(
+        F.posexplode(F.concat("tokens", F.array_distinct("tokens"))).alias("position", "term"),
+        F.size("tokens").alias("uses"),
     )
-    total = texts.agg(F.count("*")).scalar()
+    counts = uses.groupBy("term").agg(
+        F.count_if(F.col("position") < F.col("uses")).alias("term_count"),
+        F.count_if(F.col("position") >= F.col("uses")).alias("doc_count"),
+    )
+    documents = texts.agg(F.count("*")).scalar() if total is None else F.lit(total)
     return (
         counts.orderBy(F.desc("term_count"), "term")
         .limit(max_features)
-        .withColumn("idf", F.log((total + 1) / (F.col("doc_count") + 1)) + 1)
+        .withColumn("idf", F.log((documents + 1) / (F.col("doc_count") + 1)) + 1)
     )
 
 
 def tfidf(terms: list[str], idf: list[float]) -> PipelineModel:
     """Stages from `tweet` to a sparse, unit-length `features` vector over the given terms."""
     return PipelineModel([
-        _tokenizer(),
+        SQLTransformer(statement=f"SELECT *, {TERMS} AS tokens FROM __THIS__"),
         CountVectorizerModel.from_vocabulary(terms, inputCol="tokens", outputCol="counts"),
         ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="counts", outputCol="weights"),
         Normalizer(p=2.0, inputCol="weights", outputCol="features"),
@@ -98,13 +100,3 @@ def term_weights(tweets: DataFrame, max_features: int = MAX_FEATURES) -> DataFra
     return entries.select(
         "id", F.element_at(F.lit(names), F.col("indices") + 1).alias("term"), F.col("values").alias("weight")
     )
-
-
-def _tokenizer() -> RegexTokenizer:
-    return RegexTokenizer(
-        inputCol="tweet", outputCol="tokens", pattern=TERM_PATTERN, gaps=False, toLowercase=True, minTokenLength=2
-    )
-
-
-def _marked(tokens, distinct: bool):
-    return F.transform(tokens, lambda token: F.struct(token.alias("term"), F.lit(distinct).alias("distinct")))
