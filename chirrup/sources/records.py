@@ -23,15 +23,21 @@ def write_predictions(predictions: DataFrame, path: str) -> None:
     predictions.select("id", "ml_sentiment").write.mode("overwrite").json(path)
 
 
-# Quoted fields keep empty words, quotes and line breaks apart from missing values.
-_CSV = {"header": True, "quote": '"', "escape": '"', "emptyValue": ""}
+# A quote inside a quoted field is doubled, as other CSV readers expect.
+_CSV = {"header": True, "quote": '"', "escape": '"'}
+
+# Spaces around a word belong to it, and a leading '#' starts no comment and so needs no quotes.
+_CSV_WRITE = _CSV | {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "comment": "\x01"}
+
+# Words may hold line breaks. A quoted empty field is an empty word, an unquoted one (read as the marker) is null.
+_CSV_READ = _CSV | {"multiLine": True, "emptyValue": "", "nullValue": "\x00"}
 
 
 def export_csv(df: DataFrame, path: str) -> None:
     """Comma-separated files with a header row."""
-    df.write.mode("overwrite").options(**(_CSV | {"emptyValue": '""'})).csv(path)
+    df.write.mode("overwrite").options(**_CSV_WRITE).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """What `export_csv` wrote."""
-    return spark.read.schema(schema).options(**_CSV, multiLine=True).csv(path)
+    return spark.read.schema(schema).options(**_CSV_READ).csv(path)

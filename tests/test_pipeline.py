@@ -1,0 +1,44 @@
+import pytest
+
+from chirrup.plans.pipeline import GOLD, run
+from chirrup.schemas import TABLE_COMMENTS
+from chirrup.sources.tables import shared_folder
+from tests.fixture import bronze_df, lexicon_df, predictions_df, rows, silver_df, tweets_df
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    out = str(tmp_path_factory.mktemp("pipeline"))
+    return run(spark, tweets_df(spark), predictions_df(spark), lexicon_df(spark), out, database="pipeline_test")
+
+
+def test_all_tables_are_stored_with_their_comments(spark, tables):
+    assert len(TABLE_COMMENTS) == 11 and set(tables) == set(TABLE_COMMENTS) | {"anomaly_alert"}
+    stored = {table.name: table.description for table in spark.catalog.listTables("pipeline_test")}
+    assert stored == TABLE_COMMENTS
+
+
+def test_stored_tables_equal_the_jobs(spark, tables):
+    assert rows(tables["tweet_data"]) == rows(bronze_df(spark))
+    silver = silver_df(spark)
+    assert rows(spark.table("pipeline_test.valid_tweets")) == rows(silver)
+    for name, job in GOLD.items():
+        assert rows(spark.table(f"pipeline_test.{name}")) == rows(job(silver)), name
+
+
+def test_alert_counts_the_stored_log(tables):
+    [alert] = tables["anomaly_alert"].collect()
+    assert alert.anomaly_count == tables["anomaly_log"].count() == tables["discrepant_tweets"].count() == 5
+
+
+def test_a_rerun_replaces_the_tables(spark, tmp_path):
+    for compat in (False, True):
+        inputs = (tweets_df(spark), predictions_df(spark), lexicon_df(spark))
+        run(spark, *inputs, str(tmp_path), database="rerun_test", compat=compat)
+    assert rows(spark.table("rerun_test.tweet_data")) == rows(bronze_df(spark, compat=True))
+
+
+def test_shared_folder_follows_the_session(spark, monkeypatch):
+    assert shared_folder(spark) != shared_folder(spark)
+    monkeypatch.setattr(type(spark.conf), "get", lambda self, key, default=None: "hdfs://shared/spark/")
+    assert shared_folder(spark).startswith("hdfs://shared/spark/chirrup-")
