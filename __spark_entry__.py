@@ -37,8 +37,16 @@ POST_TEXT = """' ' || CASE WHEN e.value < 5 THEN 'hate' WHEN e.value < 10 THEN '
                                  WHEN 'view' THEN '#love' ELSE '' END || ' '"""
 
 
+# Reading with a schema spares a look into the files per table.
+SCHEMAS = {
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double",
+    "documents": "doc_id long, text string",
+    "labels": "doc_id long, quality int, toxic int",
+}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _tweets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,8 @@
 """Polarity of a text: the mean polarity of its words that a lexicon knows."""
 
+from collections import defaultdict
+from statistics import mean
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors
@@ -26,28 +29,19 @@ def score(
 
     A lexicon within the bound becomes the vocabulary of a bag-of-words model: one hash lookup per token in the
     same stage as the scan, no shuffle and no Python worker, whatever the number or repetition of texts. A larger
-    lexicon is joined on the word.
+    lexicon is joined on the word. Several polarities of one word are averaged.
     """
-    entries = _entries(lexicon)
+    entries = lexicon.select(F.lower(F.trim("word")).alias("word"), "polarity").dropna()
     known = entries.limit(max_broadcast_words + 1).collect()
     if len(known) > max_broadcast_words:
         return _score_by_join(df, text_col, entries, score_col)
     if not known:
         return df.withColumn(score_col, F.lit(0.0))
-    known.sort(key=lambda entry: entry.word)
-    return _score_by_vocabulary(
-        df, text_col, [entry.word for entry in known], [entry.polarity for entry in known], score_col
-    )
-
-
-def _entries(lexicon: DataFrame) -> DataFrame:
-    """One row per lower-cased word; several polarities of a word are averaged."""
-    return (
-        lexicon.select(F.lower(F.trim("word")).alias("word"), "polarity")
-        .filter(F.col("word").isNotNull() & F.col("polarity").isNotNull())
-        .groupBy("word")
-        .agg(F.avg("polarity").alias("polarity"))
-    )
+    polarities = defaultdict(list)
+    for word, polarity in known:
+        polarities[word].append(polarity)
+    words = sorted(polarities)
+    return _score_by_vocabulary(df, text_col, words, [mean(polarities[word]) for word in words], score_col)
 
 
 def _score_by_vocabulary(
@@ -77,7 +71,7 @@ def _score_by_join(df: DataFrame, text_col: str, entries: DataFrame, score_col:
     texts = df.select(text_col).filter(F.col(text_col).isNotNull()).distinct()
     scores = (
         texts.select(digest.alias("_digest"), F.explode(letter_tokens(F.col(text_col))).alias("word"))
-        .join(entries, on="word")
+        .join(entries.groupBy("word").agg(F.avg("polarity").alias("polarity")), on="word")
         .groupBy("_digest")
         .agg(F.round(F.avg("polarity"), SCORE_DIGITS).alias(score_col))
     )

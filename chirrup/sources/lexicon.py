@@ -8,7 +8,8 @@ from chirrup.schemas import LEXICON, STARTER_LEXICON
 
 def starter_lexicon(spark: SparkSession) -> DataFrame:
     """The small lexicon that comes with the package."""
-    return spark.createDataFrame(list(STARTER_LEXICON.items()), LEXICON)
+    rows = ", ".join(f"('{word}', {polarity}D)" for word, polarity in STARTER_LEXICON.items())
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS lexicon(word, polarity)")
 
 
 def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
