@@ -15,7 +15,7 @@ def keyed_records(lines: DataFrame, key: str = "Date") -> DataFrame:
     sink expects as well.
     """
     records = lines.filter(F.col("value").rlike(r"\S")).select(F.trim("value").alias("value"))
-    parsed = F.from_json("value", f"`{key}` string", {"mode": "FAILFAST"})
+    parsed = F.from_json("value", f"`{key}` string", {"mode": "FAILFAST", "allowSingleQuotes": "false"})
     return records.select(F.coalesce(parsed[key], F.lit(DEFAULT_KEY)).alias("key"), "value")
 
 

@@ -1,3 +1,5 @@
+import pytest
+
 from chirrup.operators.bronze import COPIES_PER_RUN, bronze
 from chirrup.schemas import PREDICTION, TWEET
 from tests.fixture import bronze_df, predictions_df, rows, tweets_df
@@ -41,13 +43,32 @@ def test_a_hot_prediction_id_keeps_all_its_copies(spark):
     assert counts[10] == 1
 
 
-def test_a_hot_tweet_id_is_split_by_the_adaptive_join(spark):
-    """A third of all tweets, and a third without id, against few predictions: nothing is lost."""
-    tweets = spark.range(30_000).selectExpr(
+@pytest.fixture
+def small_skew_limits(spark):
+    limits = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+    }
+    for key, value in limits.items():
+        spark.conf.set(key, value)
+    yield
+    for key in limits:
+        spark.conf.unset(key)
+
+
+def test_hot_and_missing_tweet_ids_are_split_by_the_adaptive_join(spark, small_skew_limits, tmp_path):
+    """A third of all tweets shares one id and a third has none: the join is split and nothing is lost."""
+    tweets = spark.range(0, 60_000, 1, 8).selectExpr(
         "CASE WHEN id % 3 = 0 THEN 5 WHEN id % 3 = 1 THEN NULL ELSE id END AS id",
-        "1L AS label", "id AS timestamp", "'t' AS tweet", "id AS user_id",
+        "1L AS label", "id AS timestamp", "sha2(string(id), 512) AS tweet", "id AS user_id",
     )
-    predictions = spark.range(30_000).selectExpr("id", "'positive' AS ml_sentiment")
+    predictions = spark.range(60_000).selectExpr("id", "'positive' AS ml_sentiment")
     df = bronze(tweets, predictions)
-    assert df.count() == 30_000
-    assert df.filter("ml_sentiment IS NULL").count() == 10_000
+    df.write.parquet(str(tmp_path / "bronze"))
+    stored = spark.read.parquet(str(tmp_path / "bronze"))
+    assert stored.count() == stored.select("timestamp").distinct().count() == 60_000
+    assert stored.filter("ml_sentiment IS NULL").count() == 20_000
+    df.collect()
+    assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()

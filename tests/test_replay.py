@@ -64,8 +64,9 @@ def test_files_per_trigger_set_the_pace(spark, source):
     assert spark.read.text(str(source / "out")).count() == 10
 
 
-def test_a_malformed_line_fails_the_replay(spark, source):
-    (source / "in" / "bad.json").write_text('{"id": 5, "tweet": \n')
+@pytest.mark.parametrize("line", ['{"id": 5, "tweet": ', "{'id': 5}", '{"Date": "x", "tweet": "cut', "no record"])
+def test_a_malformed_line_fails_the_replay(spark, source, line):
+    (source / "in" / "bad.json").write_text(line + "\n")
     with pytest.raises(StreamingQueryException):
         send(spark, source)
 
