@@ -8,14 +8,18 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, SQLTransformer
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chirrup.functions.sentiment import prediction_text
+from chirrup.sources.tables import shared_folder
 
 MAX_FEATURES = 1000
 MAX_ITER = 1000
 
+# A pass of the regression costs little per row: below this size a task takes longer to start than to run.
+ROWS_PER_TASK = 50_000
+
 # Fixed value: a term is a run of at least two letters, digits or underscores, in any script.
 TERM_PATTERN = r"[\p{L}\p{N}_]{2,}"
 TERMS = f"regexp_extract_all(lower(tweet), r'{TERM_PATTERN}', 0)"
@@ -27,15 +31,20 @@ def fit_predict(tweets: DataFrame, max_features: int = MAX_FEATURES, max_iter: i
 
 
 def fit(tweets: DataFrame, max_features: int = MAX_FEATURES, max_iter: int = MAX_ITER) -> PipelineModel:
-    """Model from raw tweets to a 0/1 prediction; the driver holds the vocabulary and the coefficients only."""
+    """Model from raw tweets to a 0/1 prediction; the driver holds the vocabulary and the coefficients only.
+
+    The tweets are read twice, for the vocabulary and for the features. The features are stored before the
+    regression, so its many passes, and the recovery of a lost executor, do not go back to the texts.
+    """
     train = tweets.filter(F.col("tweet").isNotNull() & F.col("label").isNotNull()).select(
         "tweet", F.col("label").cast("double").alias("label")
     )
-    size = train.count()
-    terms = vocabulary(train, max_features, size).collect()
+    terms = _weighted_terms(train, max_features).collect()
     if not terms:
         raise ValueError("no labelled tweet with a term to fit on")
     weigher = tfidf([row.term for row in terms], [row.idf for row in terms])
+    path = f"{shared_folder(train.sparkSession)}/features"
+    weigher.transform(train).select("features", "label").write.parquet(path)
     regression = LogisticRegression(
         featuresCol="features",
         labelCol="label",
@@ -43,12 +52,12 @@ def fit(tweets: DataFrame, max_features: int = MAX_FEATURES, max_iter: int = MAX
         rawPredictionCol="",
         family="binomial",
         maxIter=max_iter,
-        regParam=1.0 / size,
+        regParam=1.0 / terms[0].documents,
         elasticNetParam=0.0,
         standardization=False,
     )
-    model = regression.fit(weigher.transform(train).select("features", "label"))
-    return PipelineModel([*weigher.stages, model])
+    features = train.sparkSession.read.parquet(path).coalesce(1 + terms[0].documents // ROWS_PER_TASK)
+    return PipelineModel([*weigher.stages, regression.fit(features)])
 
 
 def predict(model: PipelineModel, tweets: DataFrame) -> DataFrame:
@@ -56,26 +65,34 @@ def predict(model: PipelineModel, tweets: DataFrame) -> DataFrame:
     return scored.select("id", prediction_text(F.col("prediction")).alias("ml_sentiment"))
 
 
-def vocabulary(tweets: DataFrame, max_features: int = MAX_FEATURES, total: int | None = None) -> DataFrame:
-    """The most frequent terms, ties in term order: `term, term_count, doc_count, idf`.
+def vocabulary(tweets: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
+    """The most frequent terms, ties in term order: `term, term_count, doc_count, idf`."""
+    return _weighted_terms(tweets, max_features).drop("documents")
+
+
+def _weighted_terms(tweets: DataFrame, max_features: int) -> DataFrame:
+    """The vocabulary with the number of texts, `documents`, from one pass over the texts.
 
-    One pass yields both counts: each tweet emits its terms, then its distinct terms, told apart by position. Counts
-    are combined before the shuffle and the cut is a distributed top-k. `total` is the number of texts, if known.
+    Each text emits its terms, then its distinct terms, told apart by position, then a null that counts the text
+    itself. Counts are combined before the shuffle, the cut is a distributed top-k that always keeps the null, and
+    the window spreads its count over the rows that are left.
     """
     texts = tweets.filter(F.col("tweet").isNotNull())
+    text_mark = F.array(F.lit(None).cast("string"))
     uses = texts.selectExpr(f"{TERMS} AS tokens").select(
-        F.posexplode(F.concat("tokens", F.array_distinct("tokens"))).alias("position", "term"),
+        F.posexplode(F.concat("tokens", F.array_distinct("tokens"), text_mark)).alias("position", "term"),
         F.size("tokens").alias("uses"),
     )
     counts = uses.groupBy("term").agg(
         F.count_if(F.col("position") < F.col("uses")).alias("term_count"),
         F.count_if(F.col("position") >= F.col("uses")).alias("doc_count"),
     )
-    documents = texts.agg(F.count("*")).scalar() if total is None else F.lit(total)
+    top = counts.orderBy(F.col("term").isNotNull(), F.desc("term_count"), "term").limit(max_features + 1)
+    documents = F.max(F.when(F.col("term").isNull(), F.col("doc_count"))).over(Window.partitionBy(F.lit(0)))
     return (
-        counts.orderBy(F.desc("term_count"), "term")
-        .limit(max_features)
-        .withColumn("idf", F.log((documents + 1) / (F.col("doc_count") + 1)) + 1)
+        top.withColumn("documents", documents)
+        .filter(F.col("term").isNotNull())
+        .withColumn("idf", F.log((F.col("documents") + 1) / (F.col("doc_count") + 1)) + 1)
     )
 
 

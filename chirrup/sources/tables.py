@@ -2,10 +2,17 @@
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _local_folder() -> tempfile.TemporaryDirectory:
+    """Removed when the process ends."""
+    return tempfile.TemporaryDirectory(prefix="chirrup-")
+
+
 def write_table(df: DataFrame, name: str, path: str, comment: str) -> DataFrame:
     """Store as a parquet table with its comment and return the stored table."""
     spark = df.sparkSession
@@ -23,5 +30,5 @@ def shared_folder(spark: SparkSession) -> str:
     if base is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-        base = tempfile.mkdtemp(prefix="chirrup-")
+        base = _local_folder().name
     return f"{base.rstrip('/')}/chirrup-{uuid.uuid4().hex}"
