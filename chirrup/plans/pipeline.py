@@ -8,22 +8,13 @@ from chirrup.operators.anomalies import anomaly_alert, anomaly_log, discrepant_t
 from chirrup.operators.bronze import bronze
 from chirrup.operators.silver import silver
 from chirrup.operators.trends import hourly_sentiment_trend, ml_sentiment_accuracy, ml_vs_label_comparison
-from chirrup.operators.words import (
-    negative_word_frequency,
-    neutral_word_frequency,
-    positive_word_frequency,
-    top_hashtags_by_sentiment,
-)
+from chirrup.operators.words import counted_words, word_tables
 from chirrup.schemas import TABLE_COMMENTS
-from chirrup.sources.tables import write_table
+from chirrup.sources.tables import shared_folder, write_table
 
 GOLD = {
     "hourly_sentiment_trend": hourly_sentiment_trend,
     "discrepant_tweets": discrepant_tweets,
-    "negative_word_frequency": negative_word_frequency,
-    "positive_word_frequency": positive_word_frequency,
-    "neutral_word_frequency": neutral_word_frequency,
-    "top_hashtags_by_sentiment": top_hashtags_by_sentiment,
     "ml_sentiment_accuracy": ml_sentiment_accuracy,
     "ml_vs_label_comparison": ml_vs_label_comparison,
 }
@@ -41,8 +32,9 @@ def run(
 ) -> dict[str, DataFrame]:
     """Store bronze, silver, the gold tables and the anomaly log below `out`; return them and the alert.
 
-    Each stage reads the stored stage before it, so text is joined and scored once, and a lost executor costs no
-    more than its own tasks. The tables are stored unsorted; see `words.ranked` for sorted reads.
+    Each stage reads the stored stage before it, so texts are joined, scored and split into words once, and a lost
+    executor costs no more than its own tasks. The counted words go to the shared folder, the tables below `out`.
+    The tables are stored unsorted; see `words.ranked` for sorted reads.
     """
 
     def store(name: str, df: DataFrame) -> DataFrame:
@@ -53,6 +45,10 @@ def run(
     tables["valid_tweets"] = store("valid_tweets", silver(tables["tweet_data"], lexicon))
     for name, job in GOLD.items():
         tables[name] = store(name, job(tables["valid_tweets"]))
+    counted = f"{shared_folder(spark)}/counted_words"
+    counted_words(tables["valid_tweets"]).write.parquet(counted)
+    for name, df in word_tables(spark.read.parquet(counted)).items():
+        tables[name] = store(name, df)
     tables["anomaly_log"] = store("anomaly_log", anomaly_log(tables["valid_tweets"], log_time))
     tables["anomaly_alert"] = anomaly_alert(tables["anomaly_log"])
     return tables

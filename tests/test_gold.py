@@ -1,3 +1,5 @@
+import random
+from collections import Counter
 from datetime import datetime, timezone
 
 import pytest
@@ -6,11 +8,13 @@ from pyspark.sql import functions as F
 from chirrup.operators.anomalies import anomaly_alert, anomaly_log, discrepant_tweets
 from chirrup.operators.trends import hourly_sentiment_trend, ml_sentiment_accuracy, ml_vs_label_comparison
 from chirrup.operators.words import (
+    counted_words,
     negative_word_frequency,
     neutral_word_frequency,
     positive_word_frequency,
     ranked,
     top_hashtags_by_sentiment,
+    word_tables,
 )
 from chirrup.schemas import NEGATIVE_WORDS, POSITIVE_WORDS
 from tests.fixture import rows, silver_df
@@ -90,6 +94,23 @@ def test_top_hashtags_by_sentiment(spark):
     ]
 
 
+def test_tables_from_counted_words_equal_the_jobs(spark):
+    rng = random.Random(3)
+    vocabulary = [*NEGATIVE_WORDS, *POSITIVE_WORDS, "Bad", "#SAD", "GOOD", "#", "", "x", "ΟΔΟΣ", "#Σ", "İx", "a\nb", "\t"]
+    categories = ["strong positive", "positive", "neutral", "negative", "strong negative"]
+    data = [
+        (" ".join(rng.choices(vocabulary, k=rng.randint(1, 9))), rng.choice(categories[1:4]), rng.choice(categories))
+        for _ in range(500)
+    ]
+    silver = spark.createDataFrame(data, "tweet string, sentiment_label string, sentiment_category string")
+    tables = word_tables(counted_words(silver))
+    for job in (negative_word_frequency, positive_word_frequency, neutral_word_frequency, top_hashtags_by_sentiment):
+        assert rows(tables[job.__name__]) == rows(job(silver)), job.__name__
+
+    neutral = Counter(word for tweet, _, category in data if category == "neutral" for word in tweet.lower().split(" "))
+    assert rows(tables["neutral_word_frequency"]) == rows(spark.createDataFrame(list(neutral.items())))
+
+
 def test_ranked(spark):
     counts = spark.createDataFrame([("b", 2), ("a", 2), ("c", 5)], "word string, freq long")
     assert [row.word for row in ranked(counts, "freq", "word").collect()] == ["c", "a", "b"]
