@@ -1,5 +1,6 @@
 """Write every table once, in dependency order."""
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,21 +35,23 @@ def run(
 
     Each stage reads the stored stage before it, so texts are joined, scored and split into words once, and a lost
     executor costs no more than its own tasks. The counted words go to the shared folder, the tables below `out`.
-    The tables are stored unsorted; see `words.ranked` for sorted reads.
+    The tables after silver do not depend on each other and are written side by side, so the last tasks of one leave
+    no executor idle. They are stored unsorted; see `words.ranked` for sorted reads.
     """
 
     def store(name: str, df: DataFrame) -> DataFrame:
         return write_table(df, f"{database}.{name}", f"{out}/{name}", TABLE_COMMENTS[name])
 
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{out}'")
-    tables = {"tweet_data": store("tweet_data", bronze(tweets, predictions, compat))}
-    tables["valid_tweets"] = store("valid_tweets", silver(tables["tweet_data"], lexicon))
-    for name, job in GOLD.items():
-        tables[name] = store(name, job(tables["valid_tweets"]))
+    tweet_data = store("tweet_data", bronze(tweets, predictions, compat))
+    valid_tweets = store("valid_tweets", silver(tweet_data, lexicon))
     counted = f"{shared_folder(spark)}/counted_words"
-    counted_words(tables["valid_tweets"]).write.parquet(counted)
-    for name, df in word_tables(spark.read.parquet(counted)).items():
-        tables[name] = store(name, df)
-    tables["anomaly_log"] = store("anomaly_log", anomaly_log(tables["valid_tweets"], log_time))
-    tables["anomaly_alert"] = anomaly_alert(tables["anomaly_log"])
-    return tables
+    counted_words(valid_tweets).write.parquet(counted)
+
+    gold = {name: job(valid_tweets) for name, job in GOLD.items()}
+    gold |= word_tables(spark.read.parquet(counted))
+    gold["anomaly_log"] = anomaly_log(valid_tweets, log_time)
+    with ThreadPoolExecutor(len(gold)) as pool:
+        stored = dict(zip(gold, pool.map(store, gold, gold.values())))
+    tables = {"tweet_data": tweet_data, "valid_tweets": valid_tweets, **stored}
+    return tables | {"anomaly_alert": anomaly_alert(stored["anomaly_log"])}

@@ -1,5 +1,7 @@
 import math
+import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,3 +83,38 @@ def test_features_equal_the_formula(spark):
 def test_features_need_no_python_worker(spark):
     features = tfidf(["day", "news"], [1.0, 2.0]).transform(toy(spark)).select("id", F.col("features"))
     assert "Python" not in features._jdf.queryExecution().executedPlan().toString()
+
+
+def newton(features, labels, steps=50):
+    """Minimum of the summed logistic loss plus half the squared length of the weights, intercept unpenalised."""
+    design = np.hstack([features, np.ones((len(features), 1))])
+    penalty = np.diag([1.0] * features.shape[1] + [0.0])
+    weights = np.zeros(design.shape[1])
+    for _ in range(steps):
+        chance = 1 / (1 + np.exp(-design @ weights))
+        gradient = design.T @ (chance - labels) + penalty @ weights
+        hessian = design.T @ (design * (chance * (1 - chance))[:, None]) + penalty
+        weights -= np.linalg.solve(hessian, gradient)
+    return weights[:-1], weights[-1]
+
+
+def test_the_regression_equals_a_direct_solution(spark):
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(30)]
+    data = [(i, rng.randint(0, 1), 0, " ".join(rng.choices(words, k=rng.randint(1, 8))), 1) for i in range(300)]
+    tweets = spark.createDataFrame(data, TWEET)
+    model = fit(tweets).stages[-1]
+
+    terms = [row.term for row in vocabulary(tweets).collect()]
+    features = np.zeros((len(data), len(terms)))
+    for row in term_weights(tweets).collect():
+        features[row.id, terms.index(row.term)] = row.weight
+    weights, intercept = newton(features, np.array([row[1] for row in data]))
+    assert model.coefficients.toArray() == pytest.approx(weights, abs=1e-3)
+    assert model.intercept == pytest.approx(intercept, abs=1e-3)
+
+    chosen = {row.id: row.ml_sentiment for row in predict(fit(tweets), tweets).collect()}
+    margins = features @ weights + intercept
+    clear = [i for i, margin in enumerate(margins) if abs(margin) > 1e-3]
+    assert len(clear) > 290
+    assert all((chosen[i] == "positive") == (margins[i] > 0) for i in clear)
