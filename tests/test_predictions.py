@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from chirrup.operators.bronze import bronze
@@ -41,6 +42,13 @@ def test_holdout(spark):
     assert rows(predict(model, unseen)) == [(1, "positive"), (2, "negative")]
 
 
+def test_predictions_in_a_session_that_observes(spark):
+    observation = Observation()
+    spark.range(3).observe(observation, F.count(F.lit(1)).alias("n")).collect()
+    assert observation.get["n"] == 3
+    assert fit_predict(toy(spark)).count() == 30
+
+
 def test_predictions_feed_bronze(spark):
     tweets = toy(spark)
     joined = bronze(tweets, fit_predict(tweets))
