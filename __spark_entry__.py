@@ -8,6 +8,8 @@ contain none of the counted words. Predictions come from `labels.toxic`.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 from datetime import datetime, timezone
 from functools import reduce
@@ -15,6 +17,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
 from chirrup.operators import anomalies, predictions, trends, words
 from chirrup.operators.bronze import bronze
 from chirrup.operators.polarity import score

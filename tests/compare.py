@@ -13,7 +13,7 @@ import __spark_entry__ as spark_entry
 
 def cell(value):
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else f"{value:.9g}"
+        return "nan" if math.isnan(value) else repr(value)
     if isinstance(value, (datetime, date)):
         return value.isoformat()
     return repr(value)
