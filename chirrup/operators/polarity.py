@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from chirrup.functions.text import letter_tokens
 
-# Above this size the lexicon is joined instead of being sent to every executor (about 10 MB of words).
-MAX_BROADCAST_WORDS = 200_000
+# Above this size (a few MB) the lexicon is joined instead of being sent to every executor.
+MAX_BROADCAST_WORDS = 50_000
 
 # The mean is rounded so that it does not depend on the order of summation.
 SCORE_DIGITS = 6

@@ -16,7 +16,7 @@ def _local_folder() -> tempfile.TemporaryDirectory:
 def write_table(df: DataFrame, name: str, path: str, comment: str) -> DataFrame:
     """Store as a parquet table with its comment and return the stored table."""
     spark = df.sparkSession
-    df.write.mode("overwrite").format("parquet").option("path", path).saveAsTable(name)
+    df.write.mode("overwrite").format("parquet").option("compression", "zstd").option("path", path).saveAsTable(name)
     spark.sql(f"COMMENT ON TABLE {name} IS :comment", args={"comment": comment})
     return spark.table(name)
 

@@ -64,6 +64,17 @@ def test_files_per_trigger_set_the_pace(spark, source):
     assert spark.read.text(str(source / "out")).count() == 10
 
 
+def test_a_paced_stream_runs_until_it_is_stopped(spark, source):
+    paths = [str(source / name) for name in ("in", "out", "checkpoint")]
+    query = replay(spark, *paths, max_files_per_trigger=1, interval="1 second")
+    query.processAllAvailable()
+    assert query.isActive
+    (source / "in" / "late.json").write_text(lines([dict(zip(KEYS, TWEETS[0]))]))
+    query.processAllAvailable()
+    query.stop()
+    assert rows(read_tweets(spark, str(source / "out")).select(KEYS)) == sorted([*TWEETS, TWEETS[0]], key=repr)
+
+
 @pytest.mark.parametrize("line", ['{"id": 5, "tweet": ', "{'id': 5}", '{"Date": "x", "tweet": "cut', "no record"])
 def test_a_malformed_line_fails_the_replay(spark, source, line):
     (source / "in" / "bad.json").write_text(line + "\n")
