@@ -5,7 +5,7 @@ unit length per tweet. The penalty of the regression equals an inverse strength
 """
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, SQLTransformer
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, Window
@@ -43,8 +43,8 @@ def fit(tweets: DataFrame, max_features: int = MAX_FEATURES, max_iter: int = MAX
     if not terms:
         raise ValueError("no labelled tweet with a term to fit on")
     weigher = tfidf([row.term for row in terms], [row.idf for row in terms])
-    path = f"{shared_folder(train.sparkSession)}/features"
-    weigher.transform(train).select("features", "label").write.parquet(path)
+    folder = shared_folder(train.sparkSession)
+    weigher.transform(train).select("features", "label").write.parquet(f"{folder}/features")
     regression = LogisticRegression(
         featuresCol="features",
         labelCol="label",
@@ -56,8 +56,10 @@ def fit(tweets: DataFrame, max_features: int = MAX_FEATURES, max_iter: int = MAX
         elasticNetParam=0.0,
         standardization=False,
     )
-    features = train.sparkSession.read.parquet(path).coalesce(1 + terms[0].documents // ROWS_PER_TASK)
-    return PipelineModel([*weigher.stages, regression.fit(features)])
+    features = train.sparkSession.read.parquet(f"{folder}/features")
+    regression.fit(features.coalesce(1 + terms[0].documents // ROWS_PER_TASK)).save(f"{folder}/regression")
+    # Read back without its training summary, which refers to the session: after an `observe` that does not serialise.
+    return PipelineModel([*weigher.stages, LogisticRegressionModel.load(f"{folder}/regression")])
 
 
 def predict(model: PipelineModel, tweets: DataFrame) -> DataFrame:
