@@ -7,21 +7,24 @@ from pyspark.sql import functions as F
 COPIES_PER_RUN = 4096
 
 
-def bronze(tweets: DataFrame, predictions: DataFrame, compat: bool = False) -> DataFrame:
+def bronze(
+    tweets: DataFrame, predictions: DataFrame, compat: bool = False, hot_predictions: bool = True
+) -> DataFrame:
     """Left join on `id`: every tweet stays, a tweet with several predictions appears once for each.
 
     `compat=True` puts the label, as a string, in place of the prediction.
 
     Both sides may be as large as the tweets, so no side is broadcast by hint. A hot id among the tweets is split
     by the adaptive skew join (the left side of a left join can be split). The right side of a left join cannot,
-    therefore repeated predictions are counted first, with map-side combining, and expanded after the join.
+    therefore repeated predictions are counted first, with map-side combining, and expanded after the join. That
+    costs one more shuffle of the narrow predictions; `hot_predictions=False` spares it, with the same result, where
+    no id is known to have very many predictions.
     """
-    joined = tweets.join(_prediction_runs(predictions), on="id", how="left")
-    copies = F.sequence(F.lit(1).cast("long"), F.coalesce("copies", F.lit(1).cast("long")))
-    result = joined.withColumn("copy", F.explode(copies)).drop("copy", "copies")
-    if compat:
-        result = result.withColumn("ml_sentiment", F.col("label").cast("string"))
-    return result
+    if hot_predictions:
+        joined = _expanded(tweets.join(_prediction_runs(predictions), on="id", how="left"))
+    else:
+        joined = tweets.join(predictions, on="id", how="left")
+    return joined.withColumn("ml_sentiment", F.col("label").cast("string")) if compat else joined
 
 
 def _prediction_runs(predictions: DataFrame) -> DataFrame:
@@ -32,3 +35,9 @@ def _prediction_runs(predictions: DataFrame) -> DataFrame:
         "ml_sentiment",
         F.least(F.col("total") - F.col("run") * COPIES_PER_RUN, F.lit(COPIES_PER_RUN)).alias("copies"),
     )
+
+
+def _expanded(joined: DataFrame) -> DataFrame:
+    one = F.lit(1).cast("long")
+    copies = F.sequence(one, F.coalesce("copies", one))
+    return joined.withColumn("copy", F.explode(copies)).drop("copy", "copies")

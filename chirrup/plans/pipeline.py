@@ -30,6 +30,7 @@ def run(
     database: str = "default",
     compat: bool = False,
     log_time: datetime | None = None,
+    hot_predictions: bool = True,
 ) -> dict[str, DataFrame]:
     """Store bronze, silver, the gold tables and the anomaly log below `out`; return them and the alert.
 
@@ -43,7 +44,7 @@ def run(
         return write_table(df, f"{database}.{name}", f"{out}/{name}", TABLE_COMMENTS[name])
 
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{out}'")
-    tweet_data = store("tweet_data", bronze(tweets, predictions, compat))
+    tweet_data = store("tweet_data", bronze(tweets, predictions, compat, hot_predictions))
     valid_tweets = store("valid_tweets", silver(tweet_data, lexicon))
     counted = f"{shared_folder(spark)}/counted_words"
     counted_words(valid_tweets).write.parquet(counted)

@@ -30,7 +30,8 @@ def test_equals_a_plain_left_join(spark):
     predictions = spark.createDataFrame(
         [(i % 7 if i % 3 else None, ["positive", "negative", None][i % 3]) for i in range(60)], PREDICTION
     )
-    assert rows(bronze(tweets, predictions)) == rows(tweets.join(predictions, on="id", how="left"))
+    want = rows(tweets.join(predictions, on="id", how="left"))
+    assert rows(bronze(tweets, predictions)) == rows(bronze(tweets, predictions, hot_predictions=False)) == want
 
 
 def test_a_hot_prediction_id_keeps_all_its_copies(spark):
