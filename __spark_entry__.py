@@ -16,6 +16,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -120,7 +121,7 @@ def _replay_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.when(F.col("label").isNotNull(), F.date_format(F.timestamp_millis("timestamp"), "yyyy-MM-dd"))
     _tweets(spark, sf_dir).withColumn("Date", day).write.json(f"{folder}/raw")
     replay(spark, f"{folder}/raw", f"{folder}/stream", f"{folder}/checkpoint").awaitTermination()
-    keyed = TWEET.simpleString()[len("struct<"):-1].replace(":", " ") + ",key string"
+    keyed = T.StructType([*TWEET, T.StructField("key", T.StringType())])
     return spark.read.schema(keyed).json(f"{folder}/stream")
 
 

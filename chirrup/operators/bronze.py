@@ -28,16 +28,16 @@ def bronze(
 
 
 def _prediction_runs(predictions: DataFrame) -> DataFrame:
-    counted = predictions.groupBy("id", "ml_sentiment").agg(F.count("*").alias("total"))
-    last_run = F.expr(f"(total - 1) div {COPIES_PER_RUN}")
-    return counted.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), last_run))).select(
+    counted = predictions.groupBy("id", "ml_sentiment").agg(F.count("*").alias("_total"))
+    last_run = F.expr(f"(_total - 1) div {COPIES_PER_RUN}")
+    return counted.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), last_run))).select(
         "id",
         "ml_sentiment",
-        F.least(F.col("total") - F.col("run") * COPIES_PER_RUN, F.lit(COPIES_PER_RUN)).alias("copies"),
+        F.least(F.col("_total") - F.col("_run") * COPIES_PER_RUN, F.lit(COPIES_PER_RUN)).alias("_copies"),
     )
 
 
 def _expanded(joined: DataFrame) -> DataFrame:
     one = F.lit(1).cast("long")
-    copies = F.sequence(one, F.coalesce("copies", one))
-    return joined.withColumn("copy", F.explode(copies)).drop("copy", "copies")
+    copies = F.sequence(one, F.coalesce("_copies", one))
+    return joined.withColumn("_copy", F.explode(copies)).drop("_copy", "_copies")
