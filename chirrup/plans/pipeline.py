@@ -46,13 +46,14 @@ def run(
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{out}'")
     tweet_data = store("tweet_data", bronze(tweets, predictions, compat, hot_predictions))
     valid_tweets = store("valid_tweets", silver(tweet_data, lexicon))
-    counted = f"{shared_folder(spark)}/counted_words"
-    counted_words(valid_tweets).write.parquet(counted)
-
     gold = {name: job(valid_tweets) for name, job in GOLD.items()}
-    gold |= word_tables(spark.read.parquet(counted))
     gold["anomaly_log"] = anomaly_log(valid_tweets, log_time)
-    with ThreadPoolExecutor(len(gold)) as pool:
-        stored = dict(zip(gold, pool.map(store, gold, gold.values())))
-    tables = {"tweet_data": tweet_data, "valid_tweets": valid_tweets, **stored}
-    return tables | {"anomaly_alert": anomaly_alert(stored["anomaly_log"])}
+    counted = f"{shared_folder(spark)}/counted_words"
+    with ThreadPoolExecutor() as pool:
+        writes = {name: pool.submit(store, name, df) for name, df in gold.items()}
+        counted_words(valid_tweets).write.parquet(counted)
+        by_word = word_tables(spark.read.parquet(counted))
+        writes |= {name: pool.submit(store, name, df) for name, df in by_word.items()}
+        stored = {name: write.result() for name, write in writes.items()}
+    alert = anomaly_alert(stored["anomaly_log"])
+    return {"tweet_data": tweet_data, "valid_tweets": valid_tweets, **stored, "anomaly_alert": alert}
