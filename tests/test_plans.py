@@ -1,0 +1,79 @@
+"""The physical plans the jobs are meant to have over stored tables."""
+
+import re
+
+import pytest
+
+import __spark_entry__ as spark_entry
+from chirrup.operators import anomalies, trends, words
+from chirrup.operators.bronze import bronze
+from chirrup.operators.silver import silver
+from tests.fixture import bronze_df, lexicon_df, predictions_df, silver_df, tweets_df
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("stored"))
+    tables = {"tweets": tweets_df(spark), "predictions": predictions_df(spark), "bronze": bronze_df(spark),
+              "silver": silver_df(spark)}
+    for name, df in tables.items():
+        df.write.parquet(f"{folder}/{name}")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    yield {name: spark.read.parquet(f"{folder}/{name}") for name in tables}
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+@pytest.mark.parametrize("job, columns, pushed, shuffles", [
+    (trends.hourly_sentiment_trend, "timestamp,sentiment_label", "", 2),
+    (trends.ml_sentiment_accuracy, "label,timestamp,ml_sentiment", "", 1),
+    (trends.ml_vs_label_comparison, "label,ml_sentiment", "", 1),
+    (anomalies.discrepant_tweets, "id,label,ml_sentiment,sentiment_label,sentiment_score,sentiment_category,discrepancy",
+     "EqualTo(discrepancy,true)", 0),
+    (words.negative_word_frequency, "tweet,sentiment_label", "EqualTo(sentiment_label,negative)", 1),
+    (words.positive_word_frequency, "tweet,sentiment_label", "EqualTo(sentiment_label,positive)", 1),
+    (words.neutral_word_frequency, "tweet,sentiment_category", "EqualTo(sentiment_category,neutral)", 1),
+    (words.top_hashtags_by_sentiment, "tweet,sentiment_category", "", 1),
+    (words.counted_words, "tweet,sentiment_label,sentiment_category", "", 1),
+    (lambda df: anomalies.anomaly_alert(anomalies.anomaly_log(df)), "discrepancy", "EqualTo(discrepancy,true)", 1),
+])
+def test_gold_reads_only_its_columns_and_pushes_its_filter(stored, job, columns, pushed, shuffles):
+    text = plan(job(stored["silver"]))
+    assert re.findall(r"(\w+):", re.search(r"ReadSchema: struct<(.*?)>", text)[1]) == columns.split(",")
+    assert pushed in re.search(r"PushedFilters: \[(.*?)\]", text)[1]
+    assert text.count("Exchange") == shuffles
+    assert text.count("partial_") >= min(shuffles, 1)
+
+
+def test_silver_is_one_stage_with_its_filter_at_the_scan(spark, stored):
+    text = plan(silver(stored["bronze"], lexicon_df(spark)))
+    assert "PushedFilters: [IsNotNull(tweet), IsNotNull(user_id)]" in text
+    assert "Exchange" not in text
+
+
+def test_a_filter_on_the_category_tokenises_once(spark, stored):
+    text = plan(words.neutral_word_frequency(silver(stored["bronze"], lexicon_df(spark))))
+    assert text.count("regexp_extract_all") == 1
+
+
+def test_bronze_combines_predictions_before_their_shuffle(stored):
+    text = plan(bronze(stored["tweets"], stored["predictions"]))
+    assert "partial_count" in text
+    assert "partial_count" not in plan(bronze(stored["tweets"], stored["predictions"], hot_predictions=False))
+
+
+PLAIN_QUERIES = [
+    "tweet_data", "tfidf_vocabulary", "polarity_score", "polarity_score_by_join", "valid_tweets", "hourly_sentiment_trend",
+    "top_neutral_words", "top_hashtags_by_sentiment", "ml_sentiment_accuracy", "ml_vs_label_comparison", "anomaly_log",
+    "anomaly_alert",
+]
+
+
+@pytest.mark.parametrize("name", PLAIN_QUERIES)
+def test_queries_have_no_python_worker_and_no_cross_join(spark, name):
+    text = plan(spark_entry.queries()[name](spark, "/root/testdata/sf0.001"))
+    for operator in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert operator not in text
