@@ -56,6 +56,7 @@ def test_silver_is_one_stage_with_its_filter_at_the_scan(spark, stored):
 
 def test_a_filter_on_the_category_tokenises_once(spark, stored):
     text = plan(words.neutral_word_frequency(silver(stored["bronze"], lexicon_df(spark))))
+    text = re.sub(r"DataFilters: .*? Format", "", text)  # the scan's copy of the filter, which it does not run
     assert text.count("regexp_extract_all") == 1
 
 
