@@ -52,6 +52,7 @@ def test_silver_is_one_stage_with_its_filter_at_the_scan(spark, stored):
     text = plan(silver(stored["bronze"], lexicon_df(spark)))
     assert "PushedFilters: [IsNotNull(tweet), IsNotNull(user_id)]" in text
     assert "Exchange" not in text
+    assert text.count("regexp_extract_all") == text.count("strong positive") == 1
 
 
 def test_a_filter_on_the_category_tokenises_once(spark, stored):
