@@ -1,0 +1,54 @@
+import json
+
+from chirrup.operators.predictions import fit_predict
+from chirrup.operators.words import ranked
+from chirrup.plans.pipeline import run
+from chirrup.sources.lexicon import read_lexicon
+from chirrup.sources.records import export_csv, read_csv, read_predictions, read_tweets, write_predictions
+from chirrup.streaming.replay import replay
+from tests.test_records import lines
+
+GOOD = ["I love this great day #Win", "such a great day, love it", "happy day  love"]
+BAD = ["I hate this bad day #sad", "bad bad news", "lost and sad, hate it"]
+
+
+def test_from_raw_files_to_the_alert(spark, tmp_path):
+    hour = 3_600_000
+    texts = [(text, label) for _ in range(5) for label, side in ((1, GOOD), (0, BAD)) for text in side]
+    records = [
+        {"id": i, "label": label, "timestamp": 1_672_531_200_000 + i * hour, "tweet": text, "user_id": i % 3}
+        for i, (text, label) in enumerate(texts)
+    ]
+    records.append({"id": 900, "label": None, "timestamp": 1_672_531_200_000, "tweet": "great day", "user_id": 1})
+    records.append({"id": 901, "label": 1, "timestamp": 1_672_531_200_000, "tweet": None, "user_id": 1})
+    raw, tweets_path, predictions_path = (str(tmp_path / name) for name in ("raw", "tweets", "predictions"))
+    (tmp_path / "raw").mkdir()
+    for part in range(4):
+        (tmp_path / "raw" / f"{part}.json").write_text(lines(records[part::4]))
+    (tmp_path / "lexicon.csv").write_text("word,polarity\nlove,0.5\ngreat,0.8\nhappy,0.8\nhate,-0.8\nbad,-0.7\nsad,-0.5\n")
+
+    replay(spark, raw, tweets_path, str(tmp_path / "checkpoint")).awaitTermination()
+    tweets = read_tweets(spark, tweets_path)
+    write_predictions(fit_predict(tweets), predictions_path)
+    predictions = read_predictions(spark, predictions_path)
+    lexicon = read_lexicon(spark, str(tmp_path / "lexicon.csv"))
+    tables = run(spark, tweets, predictions, lexicon, str(tmp_path / "tables"), database="end_to_end")
+
+    assert tables["tweet_data"].count() == 32 and tables["valid_tweets"].count() == 31
+    accuracy = tables["ml_sentiment_accuracy"].orderBy("day").collect()
+    assert sum(row.total_tweets for row in accuracy) == 31
+    assert sum(row.correct_predictions for row in accuracy) == 30
+    assert {(row.label, row.ml_sentiment, row.total_tweets) for row in tables["ml_vs_label_comparison"].collect()} == {
+        (1, "positive", 15), (0, "negative", 15), (None, "positive", 1)
+    }
+    top = ranked(tables["negative_word_frequency"], "freq", "word", k=2).collect()
+    assert [tuple(row) for row in top] == [("bad", 15), ("hate", 10)]
+
+    wrong = sum(row.sentiment_label != row.sentiment_category for row in tables["valid_tweets"].collect())
+    [alert] = tables["anomaly_alert"].collect()
+    assert alert.message == f"Anomaly Detected! {wrong} discrepancies found in sentiment pipeline."
+
+    export_csv(tables["positive_word_frequency"], str(tmp_path / "export"))
+    exported = read_csv(spark, str(tmp_path / "export"), "word string, freq long")
+    assert sorted(exported.collect()) == sorted(tables["positive_word_frequency"].collect())
+    assert json.loads(spark.read.text(predictions_path).head().value).keys() == {"id", "ml_sentiment"}
