@@ -11,12 +11,16 @@ DEFAULT_KEY = "default"
 def keyed_records(lines: DataFrame, key: str = "Date") -> DataFrame:
     """From text lines to `key, value`: the record's key field as text, and the whole record.
 
-    Blank lines are skipped, a line that is no JSON record fails the query. The two columns are what a message-queue
-    sink expects as well.
+    Blank lines are skipped; a line that is not exactly one JSON record fails the query (read as an array, it must have
+    one element, so that text after the record is noticed). The two columns are what a message-queue sink expects as
+    well.
     """
     records = lines.filter(F.col("value").rlike(r"\S")).select(F.trim("value").alias("value"))
-    parsed = F.from_json("value", f"`{key}` string", {"mode": "FAILFAST", "allowSingleQuotes": "false"})
-    return records.select(F.coalesce(parsed[key], F.lit(DEFAULT_KEY)).alias("key"), "value")
+    strict = {"mode": "FAILFAST", "allowSingleQuotes": "false"}
+    parsed = F.from_json(F.concat(F.lit("["), "value", F.lit("]")), f"array<struct<`{key}`: string>>", strict)
+    one_record = (F.size(parsed) == 1) & parsed[0].isNotNull()
+    field = F.when(one_record, parsed[0][key]).otherwise(F.raise_error(F.lit("not one record per line")))
+    return records.select(F.coalesce(field, F.lit(DEFAULT_KEY)).alias("key"), "value")
 
 
 def replay(

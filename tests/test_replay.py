@@ -75,7 +75,10 @@ def test_a_paced_stream_runs_until_it_is_stopped(spark, source):
     assert rows(read_tweets(spark, str(source / "out")).select(KEYS)) == sorted([*TWEETS, TWEETS[0]], key=repr)
 
 
-@pytest.mark.parametrize("line", ['{"id": 5, "tweet": ', "{'id': 5}", '{"Date": "x", "tweet": "cut', "no record"])
+@pytest.mark.parametrize("line", [
+    '{"id": 5, "tweet": ', "{'id': 5}", '{"Date": "x", "tweet": "cut', "no record", '{"id": 5} and more', "null", "[5]",
+    '{"id": 5}{"id": 6}', '{"id": 5}, {"id": 6}',
+])
 def test_a_malformed_line_fails_the_replay(spark, source, line):
     (source / "in" / "bad.json").write_text(line + "\n")
     with pytest.raises(StreamingQueryException):
