@@ -31,6 +31,17 @@ from chirrup.sources.records import export_csv, read_csv, read_predictions, read
 from chirrup.sources.tables import shared_folder
 from chirrup.streaming.replay import replay
 
+try:
+    from chirrup.llm import queries as llm
+except ImportError:  # the subpackage may be left out
+    llm = None
+
+try:
+    from corpus_pipeline import ORACLE_SQL as PIPELINE_SQL
+    from corpus_pipeline import run as pipeline
+except ImportError:
+    pipeline, PIPELINE_SQL = None, None
+
 LOG_TIME = datetime(2024, 2, 1, tzinfo=timezone.utc)
 
 # The text around each document; the same expression runs in both engines.
@@ -154,7 +165,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    found = {
         "tweet_data": _bronze,
         "tweet_data_compat": lambda spark, sf_dir: _bronze(spark, sf_dir, compat=True),
         "ml_predictions": lambda spark, sf_dir: predictions.fit_predict(_tweets(spark, sf_dir)),
@@ -186,6 +197,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pipeline_run": _pipeline_run,
         "csv_export": _csv_export,
     }
+    if llm is not None:
+        found |= llm.queries()
+    if pipeline is not None:
+        found["pipeline"] = pipeline
+    return found
 
 
 def _sql_list(texts: list[str]) -> str:
@@ -322,4 +338,8 @@ SELECT id, term, round(weight / sqrt(sum(weight * weight) OVER (PARTITION BY id)
     sql["pipeline_run"] = f"WITH {_SILVER_CTES}\n{sizes}"
     sql["csv_export"] = f"WITH {_SILVER_CTES}\n{_NEUTRAL}"
     sql["top_neutral_words"] = f"WITH {_SILVER_CTES}\n{_NEUTRAL} ORDER BY freq DESC, word LIMIT 100"
+    if llm is not None:
+        sql |= llm.oracle_sql()
+    if PIPELINE_SQL is not None:
+        sql["pipeline"] = PIPELINE_SQL
     return sql
