@@ -3,10 +3,10 @@
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chirrup.llm import bpe_codec, packing, token_counts, warc
+from chirrup.llm import bpe_codec, exact_search, packing, pii, quality_crf, quality_rules, token_counts, warc
 from chirrup.sources.tables import shared_folder
 
 # The layout of the tables.
@@ -18,12 +18,29 @@ SCHEMAS = {
 }
 
 MAX_TOKENS = 1024
+MIN_QUALITY = 0.7
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def held_out() -> Column:
+    """Rows that teach no label."""
+    return F.coalesce(F.crc32(F.encode(F.col("doc_id").cast("string"), "utf-8")) % 4 == 2, F.lit(False))
+
+
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"), carry=["doc_id"])
+    base = F.filter("spans", lambda span: span["base"])
+    return found.select(
+        "doc_id",
+        *(pii.count_of(F.col("spans"), kind).alias(f"n_{kind}") for kind in pii.KINDS),
+        F.sha2(pii.joined_spans(base), 256).alias("base_sha256"),
+        pii.joined_spans(F.col("spans")).alias("spans"),
+    )
+
+
 def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -36,6 +53,16 @@ def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels")
+    model = quality_crf.fit(docs, labels.filter(~held_out()))
+    scored = quality_crf.score(docs, model)
+    return scored.select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= MIN_QUALITY).cast("int").alias("predicted")
+    )
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return pieces.select(
@@ -54,6 +81,14 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_search.top_k(table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0", k=10)
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"), carry=["doc_id"])
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_folder(spark)}/archives"
     warc.write_archives(warc.resolved(table(spark, sf_dir, "pages")), path)
@@ -69,12 +104,26 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_pii": op1_pii,
         "op3_bpe_codec": op3_bpe_codec,
+        "op5_quality_crf": op5_quality_crf,
         "op6_packing": op6_packing,
         "op7_token_counts": op7_token_counts,
+        "op8_exact_search": op8_exact_search,
+        "op9_quality_rules": op9_quality_rules,
         "op10_warc": op10_warc,
     }
 
 
+EXACT_SEARCH_SQL = """WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scores) WHERE rank <= 10"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_exact_search": EXACT_SEARCH_SQL}
