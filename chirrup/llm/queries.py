@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chirrup.llm import bpe_codec, exact_search, packing, pii, quality_crf, quality_rules, token_counts, warc
+from chirrup.llm import bpe_codec, exact_search, packing, pii, quality_crf, quality_rules, repeats, token_counts, warc
 from chirrup.sources.tables import shared_folder
 
 # The layout of the tables.
@@ -53,6 +53,13 @@ def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = repeats.remove_repeats(docs)
+    words = F.array_remove(F.split(F.translate("text", "\t\n\x0b\x0c\r", "     "), " "), "")
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.array_join(words, " "), 256).alias("kept_sha256"))
+
+
 def op5_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels")
@@ -106,6 +113,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pii": op1_pii,
         "op3_bpe_codec": op3_bpe_codec,
+        "op4_substring_dedup": op4_substring_dedup,
         "op5_quality_crf": op5_quality_crf,
         "op6_packing": op6_packing,
         "op7_token_counts": op7_token_counts,
