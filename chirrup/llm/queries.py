@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chirrup.llm import bpe_codec, exact_search, packing, pii, quality_crf, quality_rules, repeats, token_counts, warc
+from chirrup.llm import bpe_codec, exact_search, near_duplicates, packing, pii, quality_crf, quality_rules, repeats, token_counts, warc
 from chirrup.sources.tables import shared_folder
 
 # The layout of the tables.
@@ -41,6 +41,10 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.components(table(spark, sf_dir, "documents"))
+
+
 def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -112,6 +116,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pii": op1_pii,
+        "op2_near_duplicates": op2_near_duplicates,
         "op3_bpe_codec": op3_bpe_codec,
         "op4_substring_dedup": op4_substring_dedup,
         "op5_quality_crf": op5_quality_crf,
