@@ -18,10 +18,10 @@ from chirrup.llm.pretokens import chunks, text_buffers, words_of
 
 # The field is fitted on at most so many labelled documents, of at most so many lines and bytes each.
 TRAIN_DOCUMENTS = 4096
-TRAIN_LINES = 200
+TRAIN_LINES = 64
 TRAIN_BYTES = 50_000
 STEPS = 150
-ROUNDS = 3
+ROUNDS = 2
 PENALTY = 1e-3
 
 WHITE = np.zeros(256, bool)
@@ -185,7 +185,8 @@ def train(texts: list[str], good: list[int]) -> Crf:
         return Crf(weights, chain, (0.0, np.log(np.clip(prior, 1e-3, 1 - 1e-3) / np.clip(1 - prior, 1e-3, 1 - 1e-3))), prior)
     truth = label[owner].copy()
     for _ in range(ROUNDS):
-        balance = np.ones(len(x))
+        balance = (1 / np.maximum(counts, 1))[owner]  # each text counts the same
+        balance /= balance.mean()
         _ascend(x, lines.first, truth, balance, weights, chain)
         chances, _ = marginals(x @ weights, chain, lines.first)
         truth = np.where(label[owner] == 1, 1, (chances >= 0.5).astype(np.int64))

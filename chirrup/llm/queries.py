@@ -74,13 +74,16 @@ def op5_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+def piece_columns(pieces: DataFrame) -> DataFrame:
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_columns(packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = token_counts.token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"))
