@@ -24,14 +24,14 @@ from chirrup.llm.words import LOWER, grams, hashed_words, mixed, within, word_sp
 SHINGLE = 5
 # Linked at 100 * intersection >= 80 * union: then the sets differ in at most size // 4 shingles.
 LEAST_PERCENT = 80
-PARTS, OMITTED = 3, 1
+PARTS, OMITTED = 2, 1
 BAND = 2.0
-SPARE = 1.15
+SPARE = 1.25
 
 # Rounds in which each set is compared with one other set of its bucket; the rest is compared exhaustively in blocks.
-STAR_ROUNDS = 2
+STAR_ROUNDS = 1
 BLOCK = 1024
-CELLS = 64
+CELLS = 256
 
 _SETS = "doc_id long, n_shingles long, node long, check long"
 _TEXTS = "node long, text string"
@@ -174,7 +174,7 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How many shingles fall into each of `CELLS` cells, at most 255."""
     for batch in batches:
         for a, b, sets in sets_of(batch.column("text")):
-            cell = sets.text * CELLS + (sets.shingles >> np.uint64(58)).astype(np.int64)
+            cell = sets.text * CELLS + (sets.shingles >> np.uint64(56)).astype(np.int64)
             counts = np.minimum(np.bincount(cell, minlength=(b - a) * CELLS), 255).astype(np.uint8).reshape(-1, CELLS)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("node").slice(a, b - a), pa.array(sets.sizes.astype(np.int64)), pa.array([x.tobytes() for x in counts], pa.binary())],
@@ -256,16 +256,20 @@ def set_components(texts: DataFrame) -> DataFrame:
     signed = texts.mapInArrow(_signed, _SIGNATURES)
     bucket = Window.partitionBy("signature")
     shared = stored(
-        signed.select("*", F.min("node").over(bucket).alias("low"), F.max("node").over(bucket).alias("high")).filter("low <> high").select("signature", "node").distinct()
-    )
-    labels = stored(shared.select("node").distinct().withColumn("component", F.col("node")))
+        signed.select("*", F.min("node").over(bucket).alias("low"), F.max("node").over(bucket).alias("high"), F.count("*").over(bucket).alias("size"))
+        .filter("low <> high").select("signature", "node", "size").distinct()
+    )
+    # The original of a group of copies shares more with each than they share with each other: it meets more sets.
+    degrees = stored(shared.groupBy("node").agg(F.sum("size").alias("degree")))
+    labels = degrees.select("node", F.col("node").alias("component"))
+    shared = shared.select("signature", "node")
     noded = texts.mapInArrow(_noded, _TEXTS)
     members = stored(noded.join(labels.select("node"), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")))
     done = None
-    for turn in range(STAR_ROUNDS):
-        rows = shared.join(labels, "node")
-        order = F.struct(F.xxhash64("node", F.lit(turn)), F.col("node").alias("node"), F.col("component").alias("component"))
-        centred = rows.withColumn("centre", F.min(order).over(bucket)).filter("component <> centre.component")
+    for _ in range(STAR_ROUNDS):
+        rows = shared.join(labels.join(degrees, "node"), "node")
+        order = F.struct("degree", F.col("node").alias("node"), F.col("component").alias("component"))
+        centred = rows.withColumn("centre", F.max(order).over(bucket)).filter("component <> centre.component")
         offers = centred.groupBy(F.col("node").alias("b"), F.col("centre.node").alias("a")).agg(F.count("*").alias("times"))
         if done is not None:
             offers = offers.join(done.select("a", "b"), ["a", "b"], "left_anti")
