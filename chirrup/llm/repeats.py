@@ -30,7 +30,7 @@ HOT_RUNS = 4096
 SHARD_WORDS = 1 << 18
 
 _RUNS = "gram long, key binary, start int, n int, uses long"
-_SEGMENTS = "gram long, hash long, key binary, start int, copies long, words binary"
+_SEGMENTS = "gram long, hash long, key binary, start int, n int, copies long, words binary, windows array<long>, others array<long>"
 _FOUND = "key binary, start int, n int"
 
 
@@ -39,7 +39,7 @@ def _text_key(text):
 
 
 def _batch(schema: str, *columns) -> pa.RecordBatch:
-    types = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    types = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
     fields = [field.split() for field in schema.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array(x, types[kind]) for x, (_, kind) in zip(columns, fields)], [name for name, _ in fields])
 
@@ -115,7 +115,7 @@ def repeated_runs(docs: DataFrame, text: str = "text", window: int = WINDOW, hot
                 yield _batch(_RUNS, gram.view(np.int64), batch.column(0).slice(a, b - a).take(pa.array(text)), start.astype(np.int32), n.astype(np.int32), uses)
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The words of the runs; of hot grams a hash of each window."""
+        """The words of the runs; of hot grams a hash of the run and of each window."""
         for batch in batches:
             offsets, data = text_buffers(batch.column("text"))
             data = data[offsets[0] : offsets[-1]]
@@ -127,14 +127,15 @@ def repeated_runs(docs: DataFrame, text: str = "text", window: int = WINDOW, hot
                     a, n = int(first[k]) + run["start"], run["n"]
                     if not run["hot"]:
                         words = b" ".join([data[i:j].tobytes() for i, j in zip(begins[a : a + n + window - 1].tolist(), ends[a : a + n + window - 1].tolist())])
-                        out.append((run["gram"], None, key, run["start"], copies, words))
+                        out.append((run["gram"], None, key, run["start"], n, copies, words, None, None))
                         continue
                     if hashes is None:
                         own = hashed_words(data, begins[first[k] : first[k + 1]], ends[first[k] : first[k + 1]])
                         hashes = grams(own, window).view(np.int64), grams(mixed(own), window).view(np.int64)
-                    for i in range(run["start"], run["start"] + n):
-                        out.append((int(hashes[0][i]), int(hashes[1][i]), key, i, copies, None))
-                if len(out) > 20_000:
+                    own = slice(run["start"], run["start"] + n)
+                    whole = [int(grams(h[own].view(np.uint64), n).view(np.int64)[0]) for h in hashes]
+                    out.append((whole[0], whole[1] ^ n, key, run["start"], n, copies, None, hashes[0][own], hashes[1][own]))
+                if len(out) > 5_000:
                     yield _batch(_SEGMENTS, *zip(*out))
                     out = []
             if out:
@@ -161,9 +162,20 @@ def repeated_runs(docs: DataFrame, text: str = "text", window: int = WINDOW, hot
     pieces = stored(distinct.join(wanted, "key").mapInArrow(segments, _SEGMENTS))
     cold = pieces.filter(F.col("words").isNotNull()).select("gram", "key", "start", "copies", "words")
     found = cold.repartition(n_parts, "gram").sortWithinPartitions("gram").mapInArrow(search, _FOUND)
-    hot = pieces.filter(F.col("words").isNull()).select("gram", "hash", "key", "start", "copies")
-    often = hot.groupBy("gram", "hash").agg(F.sum("copies").alias("uses")).filter("uses > 1").drop("uses")
-    found = found.unionByName(hot.join(often, ["gram", "hash"]).select("key", "start", F.lit(1).alias("n")))
+    # Equal runs of hot grams meet first: those that come twice are repeated as a whole, and only one of them goes on to
+    # have its windows counted, with the weight of all.
+    hot = pieces.filter(F.col("words").isNull())
+    alike = hot.groupBy("gram", "hash").agg(
+        F.sum("copies").alias("uses"), *(F.first(name).alias(name) for name in ("key", "start", "windows", "others"))
+    )
+    alike = stored(alike)
+    often = alike.filter("uses > 1").select("gram", "hash")
+    found = found.unionByName(hot.join(often, ["gram", "hash"]).select("key", "start", "n"))
+    windows = alike.select("uses", "key", "start", F.posexplode(F.arrays_zip("windows", "others")).alias("place", "w"))
+    windows = windows.select("uses", "key", (F.col("start") + F.col("place")).alias("start"), "w.windows", "w.others")
+    twice = windows.groupBy("windows", "others").agg(F.sum("uses").alias("total")).filter("total > 1").drop("total")
+    single = windows.filter("uses = 1").join(twice, ["windows", "others"])
+    found = found.unionByName(single.select("key", "start", F.lit(1).alias("n")))
     copies = texts.groupBy("key").agg(F.count("*").alias("copies")).filter("copies > 1")
     found = found.unionByName(copies.select("key", F.lit(0).alias("start"), F.lit(-1).alias("n")))
     return found.groupBy("key").agg(F.collect_list(F.struct("start", "n")).alias("marks"))
