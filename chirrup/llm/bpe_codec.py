@@ -47,9 +47,11 @@ def _split(sizes: bytes, blob: bytes) -> list[bytes]:
     return [raw[a:b] for a, b in zip([0, *ends], ends)]
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
+def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", carry: list[str] | None = None) -> DataFrame:
     """Add `out`: the ids of the text by the rank file at `path`, little-endian, 32 bits each.
 
+    `carry` names the columns to keep (all by default); they travel to the block with the codes.
+
     `docs` must give the same rows in the same order each time it is read, as files do; a block whose two readings
     differ stops the job. A null text is empty and has no ids; repeated rows are encoded each; an empty table stays
     empty; an existing column `out` is replaced.
@@ -57,7 +59,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids") ->
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(read_blob(path))
     n_buckets = tasks(docs)
-    names = [name for name in docs.columns if name != out]
+    names = [name for name in (docs.columns if carry is None else carry) if name != out]
     rows = docs.select(F.struct(*(F.col(f"`{name}`") for name in names)).alias("doc"), text_or_empty(text).alias("text"), F.spark_partition_id().alias("part"))
     text_schema = T.StructType([
         T.StructField("block", T.LongType()), T.StructField("bucket", T.IntegerType()), T.StructField("n_words", T.LongType()),

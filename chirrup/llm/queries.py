@@ -48,7 +48,7 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe_codec.decode(bpe_codec.encode(docs, path), path)
+    coded = bpe_codec.decode(bpe_codec.encode(docs, path, carry=["doc_id"]), path)
     return coded.select(
         "doc_id",
         F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
