@@ -47,6 +47,11 @@ def _split(sizes: bytes, blob: bytes) -> list[bytes]:
     return [raw[a:b] for a, b in zip([0, *ends], ends)]
 
 
+def _mark(words: pa.BinaryArray) -> int:
+    """The number of a block's words and a checksum of them."""
+    return (zlib.crc32(b"\0".join(words.to_pylist())) << 31) + len(words)
+
+
 def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", carry: list[str] | None = None) -> DataFrame:
     """Add `out`: the ids of the text by the rank file at `path`, little-endian, 32 bits each.
 
@@ -75,6 +80,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", car
         tokenizer = bpe(shared.value)
         for number, batch in enumerate(batches):
             words = cut_column(batch.column(0), tokenizer).words
+            mark = _mark(words)
             bucket = np.fromiter((zlib.crc32(w) % n_buckets for w in words.to_pylist()), np.int32, len(words))
             order = np.argsort(bucket, kind="stable")
             cuts = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
@@ -83,7 +89,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", car
                 sizes, blob = _joined(words.take(pa.array(codes)).to_pylist())
                 deltas = _packed(np.diff(codes, prepend=0))
                 yield pa.RecordBatch.from_pydict({
-                    "block": pa.array([block_of(batch.column(1), number)], pa.int64()), "bucket": pa.array([k], pa.int32()),
+                    "block": pa.array([block_of(batch.column(1), number)], pa.int64()), "bucket": pa.array([k], pa.int32()), "n_words": pa.array([mark], pa.int64()),
                     "codes": pa.array([deltas], pa.binary()), "sizes": pa.array([sizes], pa.binary()), "words": pa.array([blob], pa.binary()),
                 })
 
@@ -92,7 +98,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", car
         tokenizer, cache = bpe(shared.value), {}
         piece = tokenizer.encoding._core_bpe.encode_single_piece
         for batch in batches:
-            for block, bucket, codes, sizes, blob in zip(*(column.to_pylist() for column in batch.columns)):
+            for block, bucket, mark, codes, sizes, blob in zip(*(column.to_pylist() for column in batch.columns)):
                 words = _split(sizes, blob)
                 if len(cache) > REMEMBERED_WORDS:
                     cache.clear()
@@ -102,7 +108,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", car
                 found = [cache[word] for word in words]
                 counts = np.fromiter(map(len, found), np.int64, len(found)) // 4
                 yield pa.RecordBatch.from_pydict({
-                    "block": pa.array([block], pa.int64()), "bucket": pa.array([bucket], pa.int32()), "codes": pa.array([codes], pa.binary()),
+                    "block": pa.array([block], pa.int64()), "bucket": pa.array([bucket], pa.int32()), "n_words": pa.array([mark], pa.int64()), "codes": pa.array([codes], pa.binary()),
                     "sizes": pa.array([_packed(counts)], pa.binary()), "words": pa.array([_packed(np.frombuffer(b"".join(found), "<u4"))], pa.binary()),
                 })
 
@@ -115,7 +121,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", car
             codes = [_packed(found.codes[a:b]) for a, b in zip(found.first[:-1], found.first[1:])]
             whole = {k: found.text(k).encode() for k in np.flatnonzero(found.unknown).tolist()}
             yield pa.RecordBatch.from_arrays(
-                [pa.array([block] * n, pa.int64()), pa.array([n_buckets] * n, pa.int32()), pa.array([len(found.words)] * n, pa.int64()),
+                [pa.array([block] * n, pa.int64()), pa.array([n_buckets] * n, pa.int32()), pa.array([_mark(found.words)] * n, pa.int64()),
                  pa.array(codes, pa.binary()), pa.array([whole.get(k) for k in range(n)], pa.binary()), batch.column(0)],
                 ["block", "bucket", "n_words", "codes", "words", "doc"],
             )
@@ -131,11 +137,12 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", car
                 if blocks[k] != block:
                     block, lists, parts = blocks[k], None, []
                 if buckets[k] < n_buckets:
-                    parts.append((np.cumsum(_unpacked(codes[k].as_py())), _unpacked(sizes[k].as_py()), _unpacked(words[k].as_py())))
+                    parts.append((np.cumsum(_unpacked(codes[k].as_py())), _unpacked(sizes[k].as_py()), _unpacked(words[k].as_py()), n_words[k].as_py()))
                     continue
                 if lists is None:
                     order = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.int64)
-                    if len(order) != n_words[k].as_py() or (np.sort(order) != np.arange(len(order))).any():
+                    mark = n_words[k].as_py()
+                    if len(order) != mark & (1 << 31) - 1 or any(p[3] != mark for p in parts) or (np.sort(order) != np.arange(len(order))).any():
                         raise RuntimeError("the texts changed between two readings; store them first")
                     ids = as_lists(np.concatenate([np.zeros(0, np.int64), *(p[1] for p in parts)]), np.concatenate([np.zeros(0, "<u4"), *(p[2] for p in parts)]))
                     lists, parts = ids.take(pa.array(np.argsort(order))), []
@@ -150,7 +157,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", car
                 yield pa.RecordBatch.from_arrays([batch.column("doc").take(pa.array(kept)).cast(doc_type), pa.array(out, pa.binary())], ["doc", out_name])
 
     out_name = "ids"
-    word_schema = "block long, bucket int, codes binary, sizes binary, words binary"
+    word_schema = "block long, bucket int, n_words long, codes binary, sizes binary, words binary"
     found = rows.select("text", "part").mapInArrow(distinct_words, word_schema)
     ids = found.repartition(n_buckets, "bucket").mapInArrow(ids_of_words, word_schema)
     texts = rows.mapInArrow(coded_texts, text_schema)
