@@ -110,6 +110,15 @@ def _polarity_score_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("id", "sentiment_score")
 
 
+# Polarities of three digits, whose means are seldom short.
+FINE_LEXICON = {word: round(polarity + 0.001 * place, 3) for place, (word, polarity) in enumerate(STARTER_LEXICON.items())}
+
+
+def _fine_score(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    lexicon = spark.createDataFrame(list(FINE_LEXICON.items()), "word string, polarity double")
+    return score(_tweets(spark, sf_dir), "tweet", lexicon, **options).select("id", "sentiment_score")
+
+
 def _tfidf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     weights = predictions.term_weights(_tweets(spark, sf_dir))
     return weights.withColumn("weight", F.round("weight", 6))
@@ -175,6 +184,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "tfidf_weights": _tfidf_weights,
         "polarity_score": _polarity_score,
         "polarity_score_by_join": _polarity_score_by_join,
+        "polarity_score_fine": _fine_score,
+        "polarity_score_fine_by_join": lambda spark, sf_dir: _fine_score(spark, sf_dir, max_broadcast_words=0),
         "valid_tweets": _silver,
         "hourly_sentiment_trend": _on_silver(trends.hourly_sentiment_trend),
         "discrepant_tweets": _on_silver(anomalies.discrepant_tweets),
@@ -208,7 +219,11 @@ def _sql_list(texts: list[str]) -> str:
     return ", ".join(f"'{text}'" for text in texts)
 
 
-_LEXICON_ROWS = ", ".join(f"('{word}', {polarity}::DOUBLE)" for word, polarity in STARTER_LEXICON.items())
+def _lexicon_rows(lexicon: dict[str, float]) -> str:
+    return ", ".join(f"('{word}', {polarity}::DOUBLE)" for word, polarity in lexicon.items())
+
+
+_LEXICON_ROWS = _lexicon_rows(STARTER_LEXICON)
 
 _TWEETS = f"""tweets AS (
   SELECT e.event_id AS id, l.quality::BIGINT AS label, epoch_us(e.ts) // 1000 AS timestamp, {POST_TEXT} AS tweet, e.user_id
@@ -228,7 +243,8 @@ _SCORES = rf"""lexicon(word, polarity) AS (VALUES {_LEXICON_ROWS}),
 hits AS (
   SELECT id, unnest(regexp_extract_all(lower(tweet), '\p{{L}}+')) AS word FROM tweets WHERE tweet IS NOT NULL),
 scores AS (
-  SELECT id, round(avg(polarity), 6) + 0.0::DOUBLE AS sentiment_score FROM hits JOIN lexicon USING (word) GROUP BY id)"""
+  SELECT id, round(sum(round(polarity * 1000000)::BIGINT)::DOUBLE / count(*)::DOUBLE / 1000000, 6) + 0.0::DOUBLE AS sentiment_score
+  FROM hits JOIN lexicon USING (word) GROUP BY id)"""
 
 _SILVER = """scored AS (
   SELECT b.*, CASE label WHEN 1 THEN 'positive' WHEN 0 THEN 'negative' ELSE 'neutral' END AS sentiment_label,
@@ -317,6 +333,9 @@ def oracle_sql() -> dict[str, str]:
         "SELECT t.id, coalesce(s.sentiment_score, 0.0::DOUBLE) AS sentiment_score "
         "FROM tweets t LEFT JOIN scores s ON s.id = t.id"
     )
+    sql["polarity_score_fine"] = sql["polarity_score_fine_by_join"] = sql["polarity_score"].replace(
+        _LEXICON_ROWS, _lexicon_rows(FINE_LEXICON)
+    )
     sql["tfidf_vocabulary"] = (
         f"WITH {_TWEETS},\n{_TERMS}\nSELECT term, term_count, doc_count, round(idf, 6) AS idf FROM vocabulary"
     )

@@ -1,12 +1,13 @@
-"""Polarity of a text: the mean polarity of its words that a lexicon knows."""
+"""Polarity of a text: the mean polarity of its words that a lexicon knows.
+
+Polarities count in whole millionths, whose sums are exact in any order, and each score is one division of such a sum.
+So the two ways to score, picked by the size of the lexicon, give the same numbers.
+"""
 
 from collections import defaultdict
-from statistics import mean
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
-from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import CountVectorizerModel
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chirrup.functions.text import letter_tokens
@@ -14,8 +15,8 @@ from chirrup.functions.text import letter_tokens
 # Above this size (a few MB) the lexicon is joined instead of being sent to every executor.
 MAX_BROADCAST_WORDS = 50_000
 
-# The mean is rounded so that it does not depend on the order of summation.
 SCORE_DIGITS = 6
+MILLION = 1_000_000
 
 
 def score(
@@ -29,9 +30,11 @@ def score(
 
     A lexicon within the bound becomes the vocabulary of a bag-of-words model: one hash lookup per token in the
     same stage as the scan, no shuffle and no Python worker, whatever the number or repetition of texts. A larger
-    lexicon is joined on the word. Several polarities of one word are averaged.
+    lexicon is joined on the word. Several polarities of one word are averaged, to the millionth. The size of the
+    lexicon is looked up here, by a bounded job.
     """
-    entries = lexicon.select(F.lower(F.trim("word")).alias("word"), "polarity").dropna()
+    millionths = F.round(F.col("polarity") * MILLION).cast("long").alias("polarity")
+    entries = lexicon.select(F.lower(F.trim("word")).alias("word"), millionths).dropna()
     known = entries.limit(max_broadcast_words + 1).collect()
     if len(known) > max_broadcast_words:
         return _score_by_join(df, text_col, entries, score_col)
@@ -41,39 +44,59 @@ def score(
     for word, polarity in known:
         polarities[word].append(polarity)
     words = sorted(polarities)
-    return _score_by_vocabulary(df, text_col, words, [mean(polarities[word]) for word in words], score_col)
+    means = [(2 * sum(polarities[word]) + len(polarities[word])) // (2 * len(polarities[word])) for word in words]
+    return _score_by_vocabulary(df, text_col, words, means, score_col)
+
+
+def _mean(total: Column, hits: Column) -> Column:
+    """Both whole numbers."""
+    return F.when(hits > 0, F.round(total.cast("double") / hits.cast("double") / MILLION, SCORE_DIGITS)).otherwise(0.0)
 
 
 def _score_by_vocabulary(
-    df: DataFrame, text_col: str, words: list[str], polarities: list[float], score_col: str
+    df: DataFrame, text_col: str, words: list[str], polarities: list[int], score_col: str
 ) -> DataFrame:
-    """Word counts, scaled to shares of all known words of the text, times polarity: the sum is the mean polarity.
+    """Word counts times polarities, over the number of known words.
 
     The score is one expression over the text that names each step once, so a filter that Spark moves below a
     projection still tokenises a text once.
     """
-    stages = [
-        CountVectorizerModel.from_vocabulary(words, inputCol="_tokens", outputCol="_hits"),
-        Normalizer(p=1.0, inputCol="_hits", outputCol="_shares"),
-        ElementwiseProduct(scalingVec=Vectors.dense(polarities), inputCol="_shares", outputCol="_parts"),
-    ]
-    vectors = PipelineModel(stages).transform(df.withColumn("_tokens", letter_tokens(F.col(text_col))))
-    total = F.aggregate(F.unwrap_udt("_parts")["values"], F.lit(0.0), lambda acc, part: acc + part)
-    return vectors.withColumn(score_col, F.round(total, SCORE_DIGITS)).drop("_tokens", "_hits", "_shares", "_parts")
+    counter = CountVectorizerModel.from_vocabulary(words, inputCol="_tokens", outputCol="_hits")
+    counted = counter.transform(df.withColumn("_tokens", letter_tokens(F.col(text_col))))
+    table = F.lit([float(polarity) for polarity in polarities])
+
+    def mean(vector: Column) -> Column:
+        parts = F.zip_with(
+            vector["indices"], vector["values"], lambda i, n: F.struct((n * F.get(table, i)).alias("total"), n.alias("hits"))
+        )
+        zero = F.struct(F.lit(0.0).alias("total"), F.lit(0.0).alias("hits"))
+        return F.aggregate(
+            parts,
+            zero,
+            lambda a, b: F.struct((a["total"] + b["total"]).alias("total"), (a["hits"] + b["hits"]).alias("hits")),
+            lambda a: _mean(a["total"], a["hits"]),
+        )
+
+    score = F.get(F.transform(F.array(F.unwrap_udt("_hits")), mean), F.lit(0))
+    return counted.withColumn(score_col, score).drop("_tokens", "_hits")
 
 
 def _score_by_join(df: DataFrame, text_col: str, entries: DataFrame, score_col: str) -> DataFrame:
     """Score each distinct text once, keyed by its digest, and join the scores back.
 
-    Tokens keep their multiplicity; a word common to all texts is split by the adaptive skew join.
+    The words of a text are counted first; a word common to all texts is split by the adaptive skew join.
     """
     digest = F.sha2(F.col(text_col), 256)
+    n = F.count("*")
+    polarities = entries.groupBy("word").agg(F.floor((2 * F.sum("polarity") + n) / (2 * n)).alias("polarity"))
     texts = df.select(text_col).filter(F.col(text_col).isNotNull()).distinct()
     scores = (
         texts.select(digest.alias("_digest"), F.explode(letter_tokens(F.col(text_col))).alias("word"))
-        .join(entries.groupBy("word").agg(F.avg("polarity").alias("polarity")), on="word")
+        .groupBy("_digest", "word")
+        .agg(n.alias("uses"))
+        .join(polarities, on="word")
         .groupBy("_digest")
-        .agg(F.round(F.avg("polarity"), SCORE_DIGITS).alias(score_col))
+        .agg(_mean(F.sum(F.col("uses") * F.col("polarity")), F.sum("uses")).alias(score_col))
     )
     joined = df.withColumn("_digest", digest).join(scores, on="_digest", how="left").drop("_digest")
     return joined.withColumn(score_col, F.coalesce(score_col, F.lit(0.0)))

@@ -17,9 +17,6 @@ from chirrup.sources.tables import shared_folder
 MAX_FEATURES = 1000
 MAX_ITER = 1000
 
-# A pass of the regression costs little per row: below this size a task takes longer to start than to run.
-ROWS_PER_TASK = 50_000
-
 # Fixed value: a term is a run of at least two letters, digits or underscores, in any script.
 TERM_PATTERN = r"[\p{L}\p{N}_]{2,}"
 TERMS = f"regexp_extract_all(lower(tweet), r'{TERM_PATTERN}', 0)"
@@ -33,11 +30,11 @@ def fit_predict(tweets: DataFrame, max_features: int = MAX_FEATURES, max_iter: i
 def fit(tweets: DataFrame, max_features: int = MAX_FEATURES, max_iter: int = MAX_ITER) -> PipelineModel:
     """Model from raw tweets to a 0/1 prediction; the driver holds the vocabulary and the coefficients only.
 
-    The tweets are read twice, for the vocabulary and for the features. The features are stored before the
+    The label 1 is learned against all others. The tweets are read twice, for the vocabulary and for the features. The features are stored before the
     regression, so its many passes, and the recovery of a lost executor, do not go back to the texts.
     """
     train = tweets.filter(F.col("tweet").isNotNull() & F.col("label").isNotNull()).select(
-        "tweet", F.col("label").cast("double").alias("label")
+        "tweet", (F.col("label") == 1).cast("double").alias("label")
     )
     terms = _weighted_terms(train, max_features).collect()
     if not terms:
@@ -57,7 +54,7 @@ def fit(tweets: DataFrame, max_features: int = MAX_FEATURES, max_iter: int = MAX
         standardization=False,
     )
     features = train.sparkSession.read.parquet(f"{folder}/features")
-    regression.fit(features.coalesce(1 + terms[0].documents // ROWS_PER_TASK)).save(f"{folder}/regression")
+    regression.fit(features).save(f"{folder}/regression")
     # Read back without its training summary, which refers to the session: after an `observe` that does not serialise.
     return PipelineModel([*weigher.stages, LogisticRegressionModel.load(f"{folder}/regression")])
 

@@ -30,19 +30,19 @@ POSITIVE_WORDS = [
     "#joy", "#win", "#success", "#motivation", "#healthy", "#love",
 ]
 
-# The comment stored with each table.
+# The comment stored with each table.
 TABLE_COMMENTS = {
     "tweet_data": "Bronze table: raw tweets with ML predictions",
-    "valid_tweets": "Silver table: cleaned tweets with ML predictions from Bronze + TextBlob sentiment",
+    "valid_tweets": "Silver table: complete tweets with their predictions and lexicon polarity",
     "hourly_sentiment_trend": "Hourly sentiment trend with counts and percentages",
-    "discrepant_tweets": "Tweets where human label disagrees with TextBlob sentiment",
+    "discrepant_tweets": "Tweets whose label differs from the category of their lexicon polarity",
     "negative_word_frequency": "Top negative words from negative tweets",
     "positive_word_frequency": "Top positive words from positive tweets",
     "neutral_word_frequency": "Top words from tweets categorized as neutral",
     "top_hashtags_by_sentiment": "Top hashtags per sentiment category",
     "ml_sentiment_accuracy": "Daily accuracy metrics comparing ML predictions vs ground truth",
     "ml_vs_label_comparison": "Compare ml_sentiment vs label counts for each sentiment category",
-    "anomaly_log": "Logs all discrepancies from Silver layer and triggers Slack alerts (batch-safe)",
+    "anomaly_log": "All discrepancies of the silver table with the time they were logged; anomaly_alert counts them",
 }
 
 # The texts of the anomaly log and of its alert.

@@ -1,21 +1,55 @@
 """JSON readers with explicit schemas, and the prediction and CSV writers."""
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chirrup.schemas import PREDICTION, TWEET
 
 
+def _whole(text: Column) -> Column:
+    """A whole number however it is written (`1`, `1.0`, `"1"`, `1e0`); null for anything else."""
+    number = F.trim(text).try_cast("decimal(38, 10)")
+    return F.when(number == F.floor(number), number).try_cast("long")
+
+
+def _read(spark: SparkSession, path: str, schema: T.StructType, **options) -> DataFrame:
+    """The raw fields, as text."""
+    return spark.read.schema(T.StructType([T.StructField(name, T.StringType()) for name in schema.names])).options(**options).json(path)
+
+
+def _typed(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    """Exactly the columns of the schema, whatever partition columns a folder adds."""
+    return raw.select(*(_whole(F.col(f.name)).alias(f.name) if f.dataType == T.LongType() else F.col(f.name) for f in schema))
+
+
+def _rejected(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    wrong = [F.col(f.name).isNotNull() & _whole(F.col(f.name)).isNull() for f in schema if f.dataType == T.LongType()]
+    return raw.select(schema.names).filter(reduce(Column.__or__, wrong))
+
+
 def read_tweets(spark: SparkSession, path: str) -> DataFrame:
-    """A directory or file of JSON lines; a malformed line gives a row of nulls, which silver drops."""
-    return spark.read.schema(TWEET).option("mode", "PERMISSIVE").json(path)
+    """A directory or file of JSON lines; a malformed line gives a row of nulls, which silver drops.
+
+    Numbers are read however they are written; one that is no whole number becomes null, and `rejected_tweets` has it.
+    """
+    return _typed(_read(spark, path, TWEET, mode="PERMISSIVE"), TWEET)
+
+
+def rejected_tweets(spark: SparkSession, path: str) -> DataFrame:
+    """The records, all fields as text, that hold something else than a whole number where one belongs."""
+    return _rejected(_read(spark, path, TWEET, mode="PERMISSIVE"), TWEET)
 
 
 def read_predictions(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """JSON lines or a JSON array on one line; `multi_line=True` for an array spread over several lines.
 
-    Only `id` and `ml_sentiment` are read, whatever else the records carry.
+    Only `id` and `ml_sentiment` are read, whatever else the records carry; ids as in `read_tweets`. An array is one row
+    of text, and a file with `multi_line` one task, so large files are better written as lines.
     """
-    return spark.read.schema(PREDICTION).option("multiLine", multi_line).json(path)
+    return _typed(_read(spark, path, PREDICTION, multiLine=multi_line), PREDICTION)
 
 
 def write_predictions(predictions: DataFrame, path: str) -> None:

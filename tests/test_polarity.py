@@ -52,6 +52,13 @@ def test_lexicon_rows_are_cleaned(spark, options):
     assert scores(spark, ["fine bad"], lexicon, **options) == [0.3]
 
 
+def test_both_ways_give_the_same_scores(spark):
+    rng = random.Random(11)
+    lexicon = spark.createDataFrame([(f"word{chr(97 + k)}", rng.randint(-999, 999) / 1000) for k in range(26)], LEXICON)
+    texts = [" ".join(f"word{chr(97 + rng.randrange(30) % 26)}" for _ in range(rng.randint(0, 30))) for _ in range(20_000)]
+    assert scores(spark, texts, lexicon, **VOCABULARY) == scores(spark, texts, lexicon, **JOIN)
+
+
 def test_empty_lexicon(spark):
     assert scores(spark, ["love"], lexicon_df(spark).limit(0)) == [0.0]
 

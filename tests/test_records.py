@@ -2,7 +2,7 @@ import json
 
 from chirrup.operators.silver import silver
 from chirrup.schemas import PREDICTION, TWEET
-from chirrup.sources.records import export_csv, read_csv, read_predictions, read_tweets, write_predictions
+from chirrup.sources.records import export_csv, read_csv, read_predictions, read_tweets, rejected_tweets, write_predictions
 from tests.fixture import PREDICTIONS, TWEETS, lexicon_df, predictions_df, rows, tweets_df
 
 KEYS = ["id", "label", "timestamp", "tweet", "user_id"]
@@ -21,6 +21,18 @@ def test_tweet_directory(spark, tmp_path):
     assert rows(df) == rows(tweets_df(spark))
 
 
+def test_numbers_as_other_tools_write_them(spark, tmp_path):
+    (tmp_path / "a.json").write_text(
+        '{"id": 3.0, "label": 1.0, "timestamp": 1672531200000.0, "tweet": "a", "user_id": "7"}\n'
+        '{"id": "4", "label": null, "timestamp": 1.6725312e12, "tweet": "b", "user_id": 1.5}\n'
+        '{"id": 5, "label": true, "timestamp": 0, "tweet": "c", "user_id": 9}\n'
+    )
+    assert rows(read_tweets(spark, str(tmp_path))) == [
+        (3, 1, 1672531200000, "a", 7), (4, None, 1672531200000, "b", None), (5, None, 0, "c", 9)
+    ]
+    assert [row.id for row in rejected_tweets(spark, str(tmp_path)).orderBy("id").collect()] == ["4", "5"]
+
+
 def test_a_malformed_line_is_dropped_by_silver(spark, tmp_path):
     (tmp_path / "a.json").write_text(lines([dict(zip(KEYS, TWEETS[2]))]) + '{"id": 5, "tweet": \n')
     tweets = read_tweets(spark, str(tmp_path))

@@ -28,7 +28,7 @@ def source(tmp_path):
 
 def test_replayed_records_equal_the_batch_read_and_feed_bronze(spark, source):
     send(spark, source)
-    replayed = read_tweets(spark, str(source / "out")).select(KEYS)
+    replayed = read_tweets(spark, str(source / "out"))
     assert rows(replayed) == rows(read_tweets(spark, str(source / "in"))) == rows(tweets_df(spark))
     assert rows(bronze(replayed, predictions_df(spark))) == rows(bronze_df(spark))
 
@@ -72,7 +72,7 @@ def test_a_paced_stream_runs_until_it_is_stopped(spark, source):
     (source / "in" / "late.json").write_text(lines([dict(zip(KEYS, TWEETS[0]))]))
     query.processAllAvailable()
     query.stop()
-    assert rows(read_tweets(spark, str(source / "out")).select(KEYS)) == sorted([*TWEETS, TWEETS[0]], key=repr)
+    assert rows(read_tweets(spark, str(source / "out"))) == sorted([*TWEETS, TWEETS[0]], key=repr)
 
 
 @pytest.mark.parametrize("line", [
