@@ -23,3 +23,8 @@ def tasks(df: DataFrame) -> int:
 
 def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
+
+
+def text_key(text: Column) -> Column:
+    """Sixteen bytes by which equal texts meet."""
+    return F.substring(F.unhex(F.sha2(text, 256)), 1, 16)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from chirrup.llm.common import stored, tasks, text_or_empty
+from chirrup.llm.common import stored, tasks, text_key, text_or_empty
 from chirrup.llm.fm_index import FmIndex, repeated_windows
 from chirrup.llm.pretokens import chunks, text_buffers
 from chirrup.llm.words import grams, hashed_words, mixed, within, word_spans
@@ -34,10 +34,6 @@ _SEGMENTS = "gram long, hash long, key binary, start int, n int, copies long, wo
 _FOUND = "key binary, start int, n int"
 
 
-def _text_key(text):
-    return F.substring(F.unhex(F.sha2(text, 256)), 1, 16)
-
-
 def _batch(schema: str, *columns) -> pa.RecordBatch:
     types = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
     fields = [field.split() for field in schema.split(", ")]
@@ -105,7 +101,7 @@ def _search(gram_rows: list[tuple], window: int) -> Iterator[pa.RecordBatch]:
 def repeated_runs(docs: DataFrame, text: str = "text", window: int = WINDOW, hot_runs: int = HOT_RUNS) -> DataFrame:
     """`key, marks`: by the key of a text its repeated windows as `(start, n)`; a negative `n` stands for all windows."""
     n_parts = tasks(docs)
-    texts = docs.select(text_or_empty(text).alias("text")).select(_text_key(F.col("text")).alias("key"), "text")
+    texts = docs.select(text_or_empty(text).alias("text")).select(text_key(F.col("text")).alias("key"), "text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -191,7 +187,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW, ho
     """
     marks = repeated_runs(docs, text, window, hot_runs).select(F.col("key").alias("_key"), F.col("marks").alias("_marks"))
     names = [name for name in docs.columns if name not in ("n_words", "n_removed")]
-    rows = docs.select(*(F.col(f"`{name}`") for name in names)).withColumn("_text_key", _text_key(text_or_empty(text)))
+    rows = docs.select(*(F.col(f"`{name}`") for name in names)).withColumn("_text_key", text_key(text_or_empty(text)))
     joined = rows.join(marks, F.col("_text_key") == F.col("_key"), "left")
     kind = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
 
