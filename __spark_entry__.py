@@ -3,7 +3,8 @@
 The driver's tables hold no tweets, so every query starts from a `tweets` view over them: each event is a tweet of
 its user, its text is the document with the event's id (an event without one has no text), and its label is that
 document's quality. A word and a tag derived from the event are put around the whole text, because the documents
-contain none of the counted words. Predictions come from `labels.toxic`.
+contain none of the counted words. Events of small value lose their user. Predictions come from `labels.toxic`, and
+from `labels.quality` a second time where it is 0, so ids have one prediction, two equal ones or two different ones.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from collections.abc import Callable
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,6 +54,11 @@ POST_TEXT = """' ' || CASE WHEN e.value < 5 THEN 'hate' WHEN e.value < 10 THEN '
                                  WHEN 'view' THEN '#love' ELSE '' END || ' '"""
 
 
+# The same expressions run in both engines.
+USER = "CASE WHEN e.value < 1 THEN NULL ELSE e.user_id END"
+PREDICTIONS = """SELECT doc_id AS id, CASE toxic WHEN 0 THEN 'positive' ELSE 'negative' END AS ml_sentiment FROM {0}
+  UNION ALL SELECT doc_id AS id, 'negative' AS ml_sentiment FROM {0} WHERE quality = 0"""
+
 # Reading with a schema spares a look into the files per table.
 SCHEMAS = {
     "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double",
@@ -78,15 +84,13 @@ def _tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
             "CAST(l.quality AS BIGINT) AS label",
             "unix_millis(CAST(e.ts AS TIMESTAMP)) AS timestamp",
             f"{POST_TEXT} AS tweet",
-            "e.user_id",
+            f"{USER} AS user_id",
         )
     )
 
 
 def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "labels").selectExpr(
-        "doc_id AS id", "CASE toxic WHEN 0 THEN 'positive' ELSE 'negative' END AS ml_sentiment"
-    )
+    return spark.sql(PREDICTIONS.format("{labels}"), labels=_table(spark, sf_dir, "labels"))
 
 
 def _bronze(spark: SparkSession, sf_dir: str, compat: bool = False) -> DataFrame:
@@ -119,6 +123,29 @@ def _fine_score(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     return score(_tweets(spark, sf_dir), "tweet", lexicon, **options).select("id", "sentiment_score")
 
 
+def _ml_optimality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the fitted regression is at the one minimum of its loss: the gradient for each term, and for the intercept.
+
+    The bound is 0.02, or a fifty-thousandth per labelled text where that is more, on either side of zero.
+    """
+    labelled = _tweets(spark, sf_dir).filter("label IS NOT NULL AND tweet IS NOT NULL")
+    model = predictions.fit(labelled)
+    terms, fitted = model.stages[1].vocabulary, model.stages[-1]
+    coefficients = spark.createDataFrame(list(zip(terms, fitted.coefficients.toArray().tolist())), "term string, w double")
+    path = f"{shared_folder(spark)}/weights"
+    predictions.term_weights(labelled).write.parquet(path)
+    weights = spark.read.parquet(path)
+    margins = weights.join(F.broadcast(coefficients), "term").groupBy("id").agg(F.sum(F.col("weight") * F.col("w")).alias("margin"))
+    chance = 1 / (1 + F.exp(-F.coalesce("margin", F.lit(0.0)) - fitted.intercept))
+    errors = labelled.join(margins, "id", "left").select("id", (chance - F.expr("int(label = 1)")).alias("error"))
+    total = errors.agg(F.count("*").alias("texts"), F.sum("error").alias("error"))
+    slopes = weights.join(errors, "id").groupBy("term").agg(F.sum(F.col("weight") * F.col("error")).alias("slope"))
+    slopes = slopes.join(F.broadcast(coefficients), "term").select("term", (F.col("slope") + F.col("w")).alias("slope"))
+    slopes = slopes.unionAll(total.select(F.lit("(intercept)"), "error"))
+    bound = F.broadcast(total.select(F.greatest(F.lit(0.02), F.col("texts") / 50_000).alias("bound"), F.lit(1).alias("one")))
+    return slopes.withColumn("one", F.lit(1)).join(bound, "one").select("term", F.expr("abs(slope) < bound").alias("optimal"))
+
+
 def _tfidf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     weights = predictions.term_weights(_tweets(spark, sf_dir))
     return weights.withColumn("weight", F.round("weight", 6))
@@ -137,9 +164,12 @@ def _tweet_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _replay_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The key is a day, empty, null or missing; blank lines lie between the records."""
     folder = shared_folder(spark)
-    day = F.when(F.col("label").isNotNull(), F.date_format(F.timestamp_millis("timestamp"), "yyyy-MM-dd"))
-    _tweets(spark, sf_dir).withColumn("Date", day).write.json(f"{folder}/raw")
+    day = F.expr("CASE label WHEN 1 THEN date_format(timestamp_millis(timestamp), 'yyyy-MM-dd') WHEN 0 THEN '' END")
+    record = F.struct(*TWEET.names, day.alias("Date"))
+    line = F.when(F.col("user_id").isNull(), F.to_json(record, {"ignoreNullFields": "false"})).otherwise(F.to_json(record))
+    _tweets(spark, sf_dir).select(F.explode(F.array(line, F.lit("  ")))).write.text(f"{folder}/raw")
     replay(spark, f"{folder}/raw", f"{folder}/stream", f"{folder}/checkpoint").awaitTermination()
     keyed = T.StructType([*TWEET, T.StructField("key", T.StringType())])
     return spark.read.schema(keyed).json(f"{folder}/stream")
@@ -152,10 +182,17 @@ def _pipeline_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, _tweets(spark, sf_dir), _predictions(spark, sf_dir), starter_lexicon(spark), folder, database,
         log_time=LOG_TIME,
     )
-    sizes = [
-        df.agg(F.lit(name).alias("table_name"), F.count("*").alias("row_count")) for name, df in tables.items()
-    ]
-    return reduce(DataFrame.unionAll, sizes)
+    sums = [df.agg(F.lit(name).alias("table_name"), F.count("*").alias("row_count"), _checksum(df)) for name, df in tables.items()]
+    return reduce(DataFrame.unionAll, sums)
+
+
+def _checksum(df: DataFrame) -> Column:
+    """Sum of a hash of each row's columns in name order; fractions count in whole millionths, times in microseconds."""
+    texts = []
+    for name, kind in sorted(df.dtypes):
+        value = {"double": f"bigint(round({name} * 1000000))", "timestamp": f"unix_micros({name})"}.get(kind, name)
+        texts.append(f"coalesce(string({value}), '-')")
+    return F.expr(f"sum(bigint(conv(substr(md5(concat_ws('|', {', '.join(texts)})), 1, 8), 16, 10)))").alias("checksum")
 
 
 def _csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,6 +215,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "tweet_data": _bronze,
         "tweet_data_compat": lambda spark, sf_dir: _bronze(spark, sf_dir, compat=True),
         "ml_predictions": lambda spark, sf_dir: predictions.fit_predict(_tweets(spark, sf_dir)),
+        "ml_optimality": _ml_optimality,
         "tfidf_vocabulary": lambda spark, sf_dir: predictions.vocabulary(_tweets(spark, sf_dir)).withColumn(
             "idf", F.round("idf", 6)
         ),
@@ -226,11 +264,10 @@ def _lexicon_rows(lexicon: dict[str, float]) -> str:
 _LEXICON_ROWS = _lexicon_rows(STARTER_LEXICON)
 
 _TWEETS = f"""tweets AS (
-  SELECT e.event_id AS id, l.quality::BIGINT AS label, epoch_us(e.ts) // 1000 AS timestamp, {POST_TEXT} AS tweet, e.user_id
+  SELECT e.event_id AS id, l.quality::BIGINT AS label, epoch_us(e.ts) // 1000 AS timestamp, {POST_TEXT} AS tweet, {USER} AS user_id
   FROM events e LEFT JOIN documents d ON d.doc_id = e.event_id LEFT JOIN labels l ON l.doc_id = e.event_id)"""
 
-_PREDICTIONS = """predictions AS (
-  SELECT doc_id AS id, CASE toxic WHEN 0 THEN 'positive' ELSE 'negative' END AS ml_sentiment FROM labels)"""
+_PREDICTIONS = f"predictions AS (\n  {PREDICTIONS.format('labels')})"
 
 _BRONZE = """bronze AS (
   SELECT t.id, t.label, t.timestamp, t.tweet, t.user_id, p.ml_sentiment FROM tweets t LEFT JOIN predictions p ON p.id = t.id)"""
@@ -323,6 +360,30 @@ _TABLE_SQL = {
 }
 
 
+_SILVER_COLUMNS = "discrepancy id label ml_sentiment sentiment_category sentiment_label sentiment_score timestamp tweet user_id"
+_TABLE_COLUMNS = {
+    "tweet_data": "id label ml_sentiment timestamp tweet user_id",
+    "valid_tweets": _SILVER_COLUMNS,
+    "hourly_sentiment_trend": "hour percentage sentiment_label tweet_count",
+    "discrepant_tweets": "id label ml_sentiment sentiment_category sentiment_label sentiment_score",
+    "negative_word_frequency": "freq word",
+    "positive_word_frequency": "freq word",
+    "neutral_word_frequency": "freq word",
+    "top_hashtags_by_sentiment": "count sentiment_category word",
+    "ml_sentiment_accuracy": "accuracy_percentage correct_predictions day total_tweets",
+    "ml_vs_label_comparison": "label ml_sentiment total_tweets",
+    "anomaly_log": "description id label log_time ml_sentiment sentiment_category sentiment_label sentiment_score tweet",
+    "anomaly_alert": "anomaly_count message",
+}
+
+
+def _checksum_sql(table: str) -> str:
+    kinds = dict.fromkeys(("sentiment_score", "percentage", "accuracy_percentage"), "round({} * 1000000)::BIGINT")
+    kinds |= dict.fromkeys(("hour", "day", "log_time"), "epoch_us({})")
+    texts = [f"coalesce(({kinds.get(name, '{}').format(name)})::VARCHAR, '-')" for name in _TABLE_COLUMNS[table].split()]
+    return f"sum(('0x' || substr(md5(concat_ws('|', {', '.join(texts)})), 1, 8))::BIGINT)::BIGINT AS checksum"
+
+
 def oracle_sql() -> dict[str, str]:
     sql = {name: f"WITH {_SILVER_CTES}\n{query}" for name, query in _TABLE_SQL.items()}
     for name in ("ml_sentiment_accuracy", "ml_vs_label_comparison"):
@@ -339,6 +400,10 @@ def oracle_sql() -> dict[str, str]:
     sql["tfidf_vocabulary"] = (
         f"WITH {_TWEETS},\n{_TERMS}\nSELECT term, term_count, doc_count, round(idf, 6) AS idf FROM vocabulary"
     )
+    labelled = _TERMS.replace("tweet IS NOT NULL", "tweet IS NOT NULL AND label IS NOT NULL", 1)
+    sql["ml_optimality"] = (
+        f"WITH {_TWEETS},\n{labelled}\nSELECT term, true AS optimal FROM vocabulary UNION ALL SELECT '(intercept)', true"
+    )
     sql["tfidf_weights"] = f"""WITH {_TWEETS},
 {_TERMS},
 raw_weights AS (
@@ -348,13 +413,14 @@ SELECT id, term, round(weight / sqrt(sum(weight * weight) OVER (PARTITION BY id)
     sql["tweet_file"] = f"WITH {_TWEETS}\nSELECT * FROM tweets"
     sql["prediction_file"] = f"WITH {_PREDICTIONS}\nSELECT * FROM predictions"
     sql["replay_ingest"] = (
-        f"WITH {_TWEETS}\nSELECT *, CASE WHEN label IS NOT NULL THEN "
-        "strftime(make_timestamp(timestamp * 1000), '%Y-%m-%d') ELSE 'default' END AS key FROM tweets"
+        f"WITH {_TWEETS}\nSELECT *, CASE label WHEN 1 THEN strftime(make_timestamp(timestamp * 1000), '%Y-%m-%d') "
+        "WHEN 0 THEN '' ELSE 'default' END AS key FROM tweets"
     )
-    sizes = "\nUNION ALL\n".join(
-        f"SELECT '{name}' AS table_name, count(*) AS row_count FROM ({query})" for name, query in _TABLE_SQL.items()
+    sums = "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS table_name, count(*) AS row_count, {_checksum_sql(name)} FROM ({query})"
+        for name, query in _TABLE_SQL.items()
     )
-    sql["pipeline_run"] = f"WITH {_SILVER_CTES}\n{sizes}"
+    sql["pipeline_run"] = f"WITH {_SILVER_CTES}\n{sums}"
     sql["csv_export"] = f"WITH {_SILVER_CTES}\n{_NEUTRAL}"
     sql["top_neutral_words"] = f"WITH {_SILVER_CTES}\n{_NEUTRAL} ORDER BY freq DESC, word LIMIT 100"
     if llm is not None:

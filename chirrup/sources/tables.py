@@ -22,11 +22,11 @@ def write_table(df: DataFrame, name: str, path: str, comment: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder that all executors see, below the session's `spark.checkpoint.dir`.
+    """A new folder that all executors see, below the session's `spark.checkpoint.dir` or, if unset, the context's folder.
 
-    Only a local session, whose executors share one machine, may do without that setting.
+    Only a local session, whose executors share one machine, may do without both.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if base is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")

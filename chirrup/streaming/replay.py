@@ -1,6 +1,6 @@
 """Replay of JSON-lines files as a keyed stream."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -23,6 +23,14 @@ def keyed_records(lines: DataFrame, key: str = "Date") -> DataFrame:
     return records.select(F.coalesce(field, F.lit(DEFAULT_KEY)).alias("key"), "value")
 
 
+def _with_key() -> Column:
+    """The record with its key as the last field."""
+    opened = F.regexp_replace("value", r"\s*\}\s*$", "")
+    comma = F.when(opened.rlike(r"^\s*\{$"), "").otherwise(",")
+    field = F.substr(F.to_json(F.struct("key")), F.lit(2))
+    return F.concat(opened, comma, field).alias("value")
+
+
 def replay(
     spark: SparkSession,
     src: str,
@@ -32,18 +40,18 @@ def replay(
     max_files_per_trigger: int = 1000,
     interval: str | None = None,
 ) -> StreamingQuery:
-    """Stream the files of `src` into JSON-lines files below `dst/key=<key>/`, a directory the tweet reader takes.
+    """Stream the files of `src` into JSON-lines files in `dst`, a directory the tweet reader takes.
 
-    Without `interval` the stream takes what is there and stops; with it, at most `max_files_per_trigger` files
-    are sent per interval. Records are written by the task that read them, so a key that all of them share is
-    spread over the tasks.
+    Each record gets its key as a last field, `key`, which stands for any field of that name. Without `interval` the stream takes what is there and stops; with it, at most `max_files_per_trigger` files
+    are sent per interval. Each task writes the records that it read to one file: the number of files does not depend
+    on the number of keys, and a key that all records share is spread over the tasks.
     """
     lines = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger).text(src)
     trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
     return (
         keyed_records(lines, key)
+        .select(_with_key())
         .writeStream.format("text")
-        .partitionBy("key")
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
         .trigger(**trigger)

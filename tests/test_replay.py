@@ -35,20 +35,41 @@ def test_replayed_records_equal_the_batch_read_and_feed_bronze(spark, source):
 
 def test_keys_and_whole_payloads(spark, source):
     send(spark, source)
-    got = spark.read.schema("value string, key string").text(str(source / "out")).collect()
-    assert {row.key for row in got} == {"2023-01-01", "2023-01-02", "default"}
-    assert sum(row.key == "default" for row in got) == 5
-    payloads = sorted((json.loads(row.value) for row in got), key=lambda record: record["id"])
-    assert payloads[0]["extra"] == {"a": [1]}
-    assert all(json.loads(row.value).get("Date", "default") == row.key for row in got)
+    payloads = [json.loads(row.value) for row in spark.read.text(str(source / "out")).collect()]
+    assert {record["key"] for record in payloads} == {"2023-01-01", "2023-01-02", "default"}
+    assert sum(record["key"] == "default" for record in payloads) == 5
+    assert min(payloads, key=lambda record: record["id"])["extra"] == {"a": [1]}
+    assert all(record.get("Date", "default") == record["key"] for record in payloads)
 
 
 def test_another_key_field(spark, source):
     send(spark, source, key="user_id")
-    got = spark.read.schema("value string, key string").text(str(source / "out")).collect()
+    got = spark.read.schema("key string").json(str(source / "out")).collect()
     assert {row.key for row in got} == {"1", "2", "3", "4", "5", "6", "7", "8", "10", "default"}
 
 
+@pytest.mark.parametrize("line, stored", [
+    ('{"Date": "", "id": 1}', '{"Date": "", "id": 1,"key":""}'),
+    ('{ }', '{"key":"default"}'),
+    ('{"Date": null}\t', '{"Date": null,"key":"default"}'),
+    ('{"Date": "a\\"}", "b": {}}', '{"Date": "a\\"}", "b": {},"key":"a\\"}"}'),
+])
+def test_the_key_is_the_last_field_of_the_stored_record(spark, tmp_path, line, stored):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "one.json").write_text(line + "\n")
+    send(spark, tmp_path)
+    assert [row.value for row in spark.read.text(str(tmp_path / "out")).collect()] == [stored]
+
+
+def test_many_keys_make_few_files(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for part in range(4):
+        (tmp_path / "in" / f"{part}.json").write_text(lines([{"id": i, "user_id": i} for i in range(part, 2000, 4)]))
+    send(spark, tmp_path, key="user_id")
+    assert spark.read.schema("key string").json(str(tmp_path / "out")).distinct().count() == 2000
+    assert len(list((tmp_path / "out").glob("**/*.txt"))) <= 4
+
+
 def test_a_rerun_adds_only_new_files(spark, source):
     send(spark, source)
     send(spark, source)
