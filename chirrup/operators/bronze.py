@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Copies of one prediction are expanded in runs of at most this many rows, so no row ever holds a long array.
+# Copies of one prediction are expanded in runs of at most this many rows; a prediction with more copies is hot.
 COPIES_PER_RUN = 4096
 
 
@@ -16,28 +16,36 @@ def bronze(
 
     Both sides may be as large as the tweets, so no side is broadcast by hint. A hot id among the tweets is split
     by the adaptive skew join (the left side of a left join can be split). The right side of a left join cannot,
-    therefore repeated predictions are counted first, with map-side combining, and expanded after the join. That
-    costs one more shuffle of the narrow predictions; `hot_predictions=False` spares it, with the same result, where
-    no id is known to have very many predictions.
+    therefore a job here, at definition, counts the narrow predictions, with map-side combining, and looks for one that
+    comes more than `COPIES_PER_RUN` times. If there is none, the join is a plain one. If there is, the predictions are
+    joined counted: tweets that meet a hot one are dealt out by run before they are expanded, the others are expanded
+    in place. The result is the same in all cases; `hot_predictions=False` spares the job.
     """
-    if hot_predictions:
-        joined = _expanded(tweets.join(_prediction_runs(predictions), on="id", how="left"))
-    else:
+    counted = predictions.groupBy("id", "ml_sentiment").agg(F.count("*").alias("_total"))
+    hot = counted.filter(F.col("_total") > COPIES_PER_RUN)
+    if not hot_predictions or hot.isEmpty():
         joined = tweets.join(predictions, on="id", how="left")
+    else:
+        joined = _in_place(tweets, counted).unionByName(_by_run(tweets, hot))
     return joined.withColumn("ml_sentiment", F.col("label").cast("string")) if compat else joined
 
 
-def _prediction_runs(predictions: DataFrame) -> DataFrame:
-    counted = predictions.groupBy("id", "ml_sentiment").agg(F.count("*").alias("_total"))
-    last_run = F.expr(f"(_total - 1) div {COPIES_PER_RUN}")
-    return counted.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), last_run))).select(
-        "id",
-        "ml_sentiment",
-        F.least(F.col("_total") - F.col("_run") * COPIES_PER_RUN, F.lit(COPIES_PER_RUN)).alias("_copies"),
-    )
+def _in_place(tweets: DataFrame, counted: DataFrame) -> DataFrame:
+    """Tweets without a prediction and those with one that is not hot. Hot ones take part in the join with no copies, so
+    a tweet that has no other does not pass for one without a prediction."""
+    few = F.when(F.col("_total") <= COPIES_PER_RUN, F.col("_total")).otherwise(0)
+    joined = tweets.join(counted.select("id", "ml_sentiment", few.alias("_copies")), on="id", how="left")
+    one = F.lit(1).cast("long")
+    copies = F.coalesce("_copies", one)
+    return joined.filter(copies > 0).withColumn("_copy", F.explode(F.sequence(one, copies))).drop("_copy", "_copies")
 
 
-def _expanded(joined: DataFrame) -> DataFrame:
-    one = F.lit(1).cast("long")
-    copies = F.sequence(one, F.coalesce("_copies", one))
-    return joined.withColumn("_copy", F.explode(copies)).drop("_copy", "_copies")
+def _by_run(tweets: DataFrame, hot: DataFrame) -> DataFrame:
+    """Tweets with a hot prediction; one row per run moves, and is expanded where it arrives."""
+    last_run = F.expr(f"(_total - 1) div {COPIES_PER_RUN}")
+    runs = tweets.join(hot, on="id").withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), last_run)))
+    n_tasks = int(tweets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = runs.repartition(n_tasks, F.xxhash64(*tweets.columns, "ml_sentiment", "_run"))
+    copies = F.least(F.col("_total") - F.col("_run") * COPIES_PER_RUN, F.lit(COPIES_PER_RUN))
+    expanded = dealt.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), copies)))
+    return expanded.drop("_copy", "_run", "_total")

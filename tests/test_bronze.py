@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from chirrup.operators.bronze import COPIES_PER_RUN, bronze
 from chirrup.schemas import PREDICTION, TWEET
@@ -44,6 +45,29 @@ def test_a_hot_prediction_id_keeps_all_its_copies(spark):
     assert counts[10] == 1
 
 
+def test_hot_ids_equal_a_plain_left_join(spark, monkeypatch):
+    monkeypatch.setattr("chirrup.operators.bronze.COPIES_PER_RUN", 3)
+    tweets = spark.createDataFrame([(i % 5 if i % 4 else None, 1, i, "t", i) for i in range(40)], TWEET)
+    predictions = spark.createDataFrame(
+        [(1, "positive")] * 10 + [(2, "negative")] * 3 + [(2, "positive")] * 7 + [(3, None)] * 9 + [(None, "positive")] * 9,
+        PREDICTION,
+    )
+    want = rows(tweets.join(predictions, on="id", how="left"))
+    assert rows(bronze(tweets, predictions)) == want
+
+
+def test_a_hot_prediction_id_is_expanded_by_many_tasks(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        hot = spark.range(8_000_000).selectExpr("1L AS id", "'positive' AS ml_sentiment")
+        df = bronze(tweets_df(spark), hot)
+        sizes = [row["count"] for row in df.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert sum(sizes) == 8_000_000 + tweets_df(spark).count() - 1
+    assert max(sizes) <= 0.1 * sum(sizes)
+
+
 @pytest.fixture
 def small_skew_limits(spark):
     limits = {

@@ -61,9 +61,10 @@ def test_a_filter_on_the_category_tokenises_once(spark, stored):
     assert text.count("regexp_extract_all") == 1
 
 
-def test_bronze_combines_predictions_before_their_shuffle(stored):
-    text = plan(bronze(stored["tweets"], stored["predictions"]))
-    assert "partial_count" in text
+def test_bronze_combines_predictions_before_their_shuffle_only_if_one_is_hot(stored, monkeypatch):
+    assert "partial_count" not in plan(bronze(stored["tweets"], stored["predictions"]))
+    monkeypatch.setattr("chirrup.operators.bronze.COPIES_PER_RUN", 1)
+    assert "partial_count" in plan(bronze(stored["tweets"], stored["predictions"]))
     assert "partial_count" not in plan(bronze(stored["tweets"], stored["predictions"], hot_predictions=False))
 
 
