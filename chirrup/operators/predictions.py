@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chirrup.functions.sentiment import prediction_text
-from chirrup.sources.tables import shared_folder
+from chirrup.sources.tables import scratch
 
 MAX_FEATURES = 1000
 MAX_ITER = 1000
@@ -30,8 +30,9 @@ def fit_predict(tweets: DataFrame, max_features: int = MAX_FEATURES, max_iter: i
 def fit(tweets: DataFrame, max_features: int = MAX_FEATURES, max_iter: int = MAX_ITER) -> PipelineModel:
     """Model from raw tweets to a 0/1 prediction; the driver holds the vocabulary and the coefficients only.
 
-    The label 1 is learned against all others. The tweets are read twice, for the vocabulary and for the features. The features are stored before the
-    regression, so its many passes, and the recovery of a lost executor, do not go back to the texts.
+    The label 1 is learned against all others. The tweets are read twice, for the vocabulary and for the features. The
+    features are stored for the time of the regression, so its many passes, and the recovery of a lost executor, do not
+    go back to the texts.
     """
     train = tweets.filter(F.col("tweet").isNotNull() & F.col("label").isNotNull()).select(
         "tweet", (F.col("label") == 1).cast("double").alias("label")
@@ -40,8 +41,6 @@ def fit(tweets: DataFrame, max_features: int = MAX_FEATURES, max_iter: int = MAX
     if not terms:
         raise ValueError("no labelled tweet with a term to fit on")
     weigher = tfidf([row.term for row in terms], [row.idf for row in terms])
-    folder = shared_folder(train.sparkSession)
-    weigher.transform(train).select("features", "label").write.parquet(f"{folder}/features")
     regression = LogisticRegression(
         featuresCol="features",
         labelCol="label",
@@ -53,10 +52,12 @@ def fit(tweets: DataFrame, max_features: int = MAX_FEATURES, max_iter: int = MAX
         elasticNetParam=0.0,
         standardization=False,
     )
-    features = train.sparkSession.read.parquet(f"{folder}/features")
-    regression.fit(features).save(f"{folder}/regression")
-    # Read back without its training summary, which refers to the session: after an `observe` that does not serialise.
-    return PipelineModel([*weigher.stages, LogisticRegressionModel.load(f"{folder}/regression")])
+    with scratch(train.sparkSession) as folder:
+        weigher.transform(train).select("features", "label").write.parquet(f"{folder}/features")
+        features = train.sparkSession.read.parquet(f"{folder}/features")
+        regression.fit(features).save(f"{folder}/regression")
+        # Read back without its training summary, which refers to the session: after an `observe` that does not serialise.
+        return PipelineModel([*weigher.stages, LogisticRegressionModel.load(f"{folder}/regression")])
 
 
 def predict(model: PipelineModel, tweets: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from chirrup.operators.silver import silver
 from chirrup.operators.trends import hourly_sentiment_trend, ml_sentiment_accuracy, ml_vs_label_comparison
 from chirrup.operators.words import counted_words, word_tables
 from chirrup.schemas import TABLE_COMMENTS
-from chirrup.sources.tables import shared_folder, write_table
+from chirrup.sources.tables import scratch, write_table
 
 GOLD = {
     "hourly_sentiment_trend": hourly_sentiment_trend,
@@ -35,7 +35,8 @@ def run(
     """Store bronze, silver, the gold tables and the anomaly log below `out`; return them and the alert.
 
     Each stage reads the stored stage before it, so texts are joined, scored and split into words once, and a lost
-    executor costs no more than its own tasks. The counted words go to the shared folder, the tables below `out`.
+    executor costs no more than its own tasks. The counted words go to the shared folder until the tables are stored,
+    the tables below `out`.
     The tables after silver do not depend on each other and are written side by side, so the last tasks of one leave
     no executor idle. They are stored unsorted; see `words.ranked` for sorted reads.
     """
@@ -48,11 +49,10 @@ def run(
     valid_tweets = store("valid_tweets", silver(tweet_data, lexicon))
     gold = {name: job(valid_tweets) for name, job in GOLD.items()}
     gold["anomaly_log"] = anomaly_log(valid_tweets, log_time)
-    counted = f"{shared_folder(spark)}/counted_words"
-    with ThreadPoolExecutor() as pool:
+    with scratch(spark) as folder, ThreadPoolExecutor() as pool:
         writes = {name: pool.submit(store, name, df) for name, df in gold.items()}
-        counted_words(valid_tweets).write.parquet(counted)
-        by_word = word_tables(spark.read.parquet(counted))
+        counted_words(valid_tweets).write.parquet(f"{folder}/counted_words")
+        by_word = word_tables(spark.read.parquet(f"{folder}/counted_words"))
         writes |= {name: pool.submit(store, name, df) for name, df in by_word.items()}
         stored = {name: write.result() for name, write in writes.items()}
     alert = anomaly_alert(stored["anomaly_log"])

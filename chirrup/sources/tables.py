@@ -2,6 +2,8 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,3 +34,14 @@ def shared_folder(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
         base = _local_folder().name
     return f"{base.rstrip('/')}/chirrup-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A `shared_folder` that is deleted, by the file system of its path, when the block ends."""
+    folder = shared_folder(spark)
+    try:
+        yield folder
+    finally:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

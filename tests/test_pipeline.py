@@ -1,6 +1,7 @@
 import pytest
 
 from chirrup.operators import words
+from chirrup.operators.predictions import fit_predict
 from chirrup.plans.pipeline import GOLD, run
 from chirrup.schemas import TABLE_COMMENTS
 from chirrup.sources.tables import shared_folder
@@ -40,6 +41,14 @@ def test_a_rerun_replaces_the_tables(spark, tmp_path):
     assert rows(spark.table("rerun_test.tweet_data")) == rows(bronze_df(spark, compat=True))
 
 
+def test_no_intermediate_data_is_left(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("chirrup.sources.tables.shared_folder", lambda spark: f"{tmp_path}/shared/one")
+    run(spark, tweets_df(spark), predictions_df(spark), lexicon_df(spark), f"{tmp_path}/out", database="tidy_test")
+    assert list((tmp_path / "shared").iterdir()) == []
+    assert fit_predict(tweets_df(spark)).count() == tweets_df(spark).filter("tweet IS NOT NULL").count()
+    assert list((tmp_path / "shared").iterdir()) == []
+
+
 def test_shared_folder_follows_the_session(spark, monkeypatch):
     assert shared_folder(spark) != shared_folder(spark)
     monkeypatch.setattr(type(spark.conf), "get", lambda self, key, default=None: "hdfs://shared/spark/")
