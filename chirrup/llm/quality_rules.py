@@ -16,9 +16,11 @@ SYMBOLS = "#*$%&|<>"
 MARKS = "!?"
 WHITE = " \t\n\x0b\x0c\r"
 
-# A measure is rejected above `least` and above the upper quartile plus FENCE times the distance of the quartiles (at
-# least `spread`). Shares are in thousandths of the characters, lines or words; word lengths in tenths of a character.
-RULES = {"symbols": (30, 5), "marks": (30, 5), "dup_lines": (500, 50), "repeats": (400, 20), "word_length": (120, 10)}
+# A measure is rejected above the upper quartile of its group plus FENCE spreads. The spread is the distance of the
+# quartiles, but not less than what one event adds to the group's median text, or to the text itself if that is shorter:
+# so many characters, lines, words (a 3-word window that occurs twice) or letters. Shares are in thousandths of the
+# characters, lines or words; word lengths in tenths of a character. No limit has a constant minimum.
+RULES = {"symbols": 1, "marks": 1, "dup_lines": 1, "repeats": 6, "word_length": 1}
 FENCE = 4
 
 # Groups of fewer texts use the thresholds of their language.
@@ -33,6 +35,11 @@ def _share(part: Column, whole: Column, scale: int) -> Column:
     return F.least(F.lit(TOP), F.floor(F.lit(scale) * part / F.greatest(whole, F.lit(1)))).cast("int")
 
 
+def _step(events: int, whole: Column, scale: int) -> Column:
+    """What so many events add to a share of the whole, rounded up."""
+    return F.least(F.lit(TOP), F.ceil(F.lit(scale * events) / F.greatest(whole, F.lit(1)))).cast("int")
+
+
 def _covered(starts: Column) -> Column:
     """Words in the 3-word windows that begin at the ascending `starts`."""
     steps = F.zip_with(starts, F.slice(starts, F.lit(2), F.greatest(F.size(starts) - 1, F.lit(0))), lambda a, b: F.least(b - a, F.lit(3)))
@@ -77,17 +84,16 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def thresholds(measures: DataFrame, group: list[str]) -> DataFrame:
-    """For each group and rule the threshold: `_limits`, a map, and the group's number of texts `_texts`."""
-    marks = F.explode(F.array(*(F.struct(F.lit(rule).alias("rule"), F.col(f"_bin_{rule}").alias("bin")) for rule in RULES)))
-    sketch = measures.select(*group, marks.alias("m")).groupBy(*group, "m.rule", "m.bin").agg(F.count("*").alias("n"))
-    of_rule = Window.partitionBy(*group, "rule")
-    ranked = sketch.select("*", F.sum("n").over(of_rule).alias("_texts"), F.sum("n").over(of_rule.orderBy("bin")).alias("upto"))
-    quantile = lambda q: F.min(F.when(F.col("upto") * 100 >= F.col("_texts") * q, F.col("bin")))
-    fences = ranked.groupBy(*group, "rule").agg(quantile(25).alias("low"), quantile(75).alias("high"), F.first("_texts").alias("_texts"))
-    least = F.create_map(*(x for rule, (value, _) in RULES.items() for x in (F.lit(rule), F.lit(value))))
-    spread = F.create_map(*(x for rule, (_, value) in RULES.items() for x in (F.lit(rule), F.lit(value))))
-    limit = F.greatest(least[F.col("rule")], F.col("high") + FENCE * F.greatest(F.col("high") - F.col("low"), spread[F.col("rule")]))
-    return fences.groupBy(*group).agg(F.first("_texts").alias("_texts"), *(F.max(F.when(F.col("rule") == rule, limit)).alias(f"_limit_{rule}") for rule in RULES))
+    """For each group and rule the upper quartile `_high_...` and the `_spread_...`; the group's number of texts `_texts`."""
+    names = [f"_{part}_{rule}" for rule in RULES for part in ("bin", "step")]
+    marks = F.explode(F.array(*(F.struct(F.lit(name).alias("name"), F.col(name).alias("bin")) for name in names)))
+    sketch = measures.select(*group, marks.alias("m")).groupBy(*group, "m.name", "m.bin").agg(F.count("*").alias("n"))
+    of_name = Window.partitionBy(*group, "name")
+    ranked = sketch.select("*", F.sum("n").over(of_name).alias("_texts"), F.sum("n").over(of_name.orderBy("bin")).alias("upto"))
+    quantile = lambda name, q: F.min(F.when((F.col("name") == name) & (F.col("upto") * 100 >= F.col("_texts") * q), F.col("bin")))
+    found = {f"_high_{rule}": quantile(f"_bin_{rule}", 75) for rule in RULES}
+    found |= {f"_spread_{rule}": F.greatest(quantile(f"_bin_{rule}", 75) - quantile(f"_bin_{rule}", 25), quantile(f"_step_{rule}", 50)) for rule in RULES}
+    return ranked.groupBy(*group).agg(F.first("_texts").alias("_texts"), *(value.alias(name) for name, value in found.items()))
 
 
 def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", carry: list[str] | None = None) -> DataFrame:
@@ -108,17 +114,19 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
         "dup_lines": _share(r("n_dup_lines"), r("n_lines"), 1000), "repeats": _share(r("n_repeat_words"), r("n_words"), 1000),
         "word_length": _share(r("word_chars"), r("n_words"), 10),
     }
-    rows = stored(rows.withColumns({"_failed": failed} | {f"_bin_{rule}": value for rule, value in bins.items()}))
+    wholes = {"symbols": ("word_chars", 1000), "marks": ("word_chars", 1000), "dup_lines": ("n_lines", 1000), "repeats": ("n_words", 1000), "word_length": ("n_words", 10)}
+    steps = {f"_step_{rule}": _step(RULES[rule], r(whole), scale) for rule, (whole, scale) in wholes.items()}
+    rows = stored(rows.withColumns({"_failed": failed} | {f"_bin_{rule}": value for rule, value in bins.items()} | steps))
     passed = rows.filter(~F.col("_failed"))
     fine = thresholds(passed, ["_lang", "_source"]).filter(F.col("_texts") >= MIN_GROUP)
     coarse = thresholds(passed, ["_lang"])
     for name, limits, keys in (("fine", fine, ["_lang", "_source"]), ("coarse", coarse, ["_lang"])):
-        limits = limits.select(*(F.col(key).alias(f"{key}_{name}") for key in keys), F.struct(*(f"_limit_{rule}" for rule in RULES)).alias(name))
+        limits = limits.select(*(F.col(key).alias(f"{key}_{name}") for key in keys), F.struct(*(f"_{part}_{rule}" for rule in RULES for part in ("high", "spread"))).alias(name))
         match = [F.col(key).eqNullSafe(F.col(f"{key}_{name}")) for key in keys]
         rows = rows.join(limits, match, "left").drop(*(f"{key}_{name}" for key in keys))
-    within = F.lit(True)
+    within, limits = F.lit(True), F.coalesce("fine", "coarse")
     for rule in RULES:
-        within &= F.col(f"_bin_{rule}") <= F.coalesce(F.col("fine")[f"_limit_{rule}"], F.col("coarse")[f"_limit_{rule}"])
+        within &= F.col(f"_bin_{rule}") <= limits[f"_high_{rule}"] + FENCE * F.greatest(limits[f"_spread_{rule}"], F.col(f"_step_{rule}"))
     results = {"n_words": r("n_words"), "word_chars": r("word_chars"), "n_symbols": r("n_symbols"), "n_dup_lines": r("n_dup_lines"),
                "n_repeat_words": r("n_repeat_words"), "base_failed": F.col("_failed"), "kept": ~F.col("_failed") & F.coalesce(within, F.lit(False))}
     own = [F.col(f"_own_{k}").alias(name) for k, name in enumerate(names) if name not in results]

@@ -141,6 +141,26 @@ def test_quality_thresholds_adapt(spark):
     assert not kept[7] and sum(kept.values()) == 599
 
 
+def test_quality_limits_follow_the_group_both_ways(spark):
+    """Two symbols in a hundred characters are usual in one source and far above the other's limit."""
+    plain_word, marked = "concat('w', lpad(pmod(hash(id, x), 10000), 4, '0'))", "concat('w#', lpad(pmod(hash(id, x), 1000), 3, '0'))"
+    docs = spark.range(600).selectExpr(
+        "id as doc_id", "'en' as lang", "if(id < 300, 'prose', 'notes') as source",
+        f"concat_ws(' ', transform(sequence(1, 80), x -> if((id >= 300 or id = 7) and x % 10 = 0, {marked}, {plain_word}))) as text",
+    )
+    judged = {r.doc_id: r for r in quality_rules.judge(docs).collect()}
+    assert judged[7].n_symbols == judged[300].n_symbols == 8 and judged[7].word_chars == 400
+    assert not judged[7].kept and all(r.kept for key, r in judged.items() if key != 7)
+
+
+def test_quality_rules_against_labels(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    judged = quality_rules.judge(docs, carry=["doc_id"]).filter("not base_failed").join(labels, "doc_id").collect()
+    good = [r.kept for r in judged if r.quality == 1]
+    assert sum(good) >= 0.98 * len(good) and not any(r.kept for r in judged if r.quality == 0)
+
+
 def test_quality_crf(spark, table, empty):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
