@@ -1,6 +1,6 @@
 """Personal data by fixed forms, and by contexts that those forms teach.
 
-Base matches are the seeds. The words before a seed make a pattern; the identifiers that patterns extract and the
+Base matches are the seeds. The two words before a seed, or those from the text's start, make a pattern; the identifiers that patterns extract and the
 patterns that extract them form a graph, which Spark scores in rounds: a pattern by the share of its distinct
 identifiers that are known to be of one kind, an identifier by its best pattern. High scores make new known identifiers,
 which score the patterns of the next round.
@@ -25,7 +25,10 @@ BYTE = "0*(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 
 # What a pattern may extract: a word with a digit or an @, without the punctuation around it.
 CANDIDATE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
-CONTEXT = r"([^\x20\x09-\x0D]{1,40})[\x20\x09-\x0D]+([^\x20\x09-\x0D]{1,40})[\x20\x09-\x0D]*$"
+
+# So many code points before a match are its context, or more; of a longer word in it, the last WORD_END count.
+CONTEXT = 100
+WORD_END = 40
 
 # A pattern counts from so many known identifiers and such a share (in thousandths) of all that it extracts.
 MIN_KNOWN = 3
@@ -53,19 +56,20 @@ def _valid(kind: Column, match: Column) -> Column:
 
 
 def _matches(body: Column, kind: str, form: str, may: Column) -> Column:
-    """Each match with its length before it since the last match, and the end of what is before it."""
+    """Each match with its length before it since the last match, and the end of what is between them."""
     found, between = F.regexp_extract_all(body, F.lit(form), F.lit(0)), F.split(body, form, -1)
     pairs = F.zip_with(found, between, lambda match, gap: F.when(match.isNotNull(), F.struct(
-        F.lit(kind).alias("kind"), match.alias("match"), F.char_length(gap).alias("gap"), F.substring(gap, -100, 100).alias("left"),
+        F.lit(kind).alias("kind"), match.alias("match"), F.char_length(gap).alias("gap"), F.right(gap, F.lit(CONTEXT)).alias("left"),
     )))
     empty = F.array().cast("array<struct<kind:string,match:string,gap:int,left:string>>")
     return F.when(may, F.array_compact(pairs)).otherwise(empty)
 
 
 def occurrences(docs: DataFrame, text: str, carry: list[str]) -> tuple[DataFrame, DataFrame]:
-    """The rows with their place `_row`, stored, and their matches `_row, kind, match, start, end, pattern`.
+    """The rows with their place `_row`, stored, and their matches `_row, kind, match, start, end, context`.
 
-    The kind of a candidate is `?`.
+    The kind of a candidate is `?`. Candidates are whole words, so the two before one hold its last two words, if those
+    are not in the text between them; every base match begins in a candidate.
     """
     body = text_or_empty(text)
     digit = body.rlike("[0-9]")
@@ -74,31 +78,47 @@ def occurrences(docs: DataFrame, text: str, carry: list[str]) -> tuple[DataFrame
     lists.append(_matches(body, "?", CANDIDATE, digit | may["email"]))
     rows = docs.select(*(F.col(f"`{x}`").alias(f"_own_{k}") for k, x in enumerate(carry)), F.concat(*lists).alias("_found"))
     rows = stored(rows.withColumn("_row", F.monotonically_increasing_id()))
-    each = rows.filter(F.size("_found") > 0).select("_row", F.posexplode("_found").alias("place", "m")).select("_row", "place", "m.*")
-    before = Window.partitionBy("_row", "kind").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
-    end = F.sum(F.col("gap") + F.char_length("match")).over(before)
-    each = each.withColumn("end", end.cast("long")).withColumn("start", F.col("end") - F.char_length("match"))
-    words = [F.lower(F.regexp_extract("left", CONTEXT, k)) for k in (1, 2)]
-    pattern = F.when(words[1] != "", F.translate(F.concat_ws(" ", *words), "0123456789", "0000000000"))
-    return rows.drop("_found"), each.withColumn("pattern", pattern).drop("left", "gap", "place")
+    each = rows.filter(F.size("_found") > 0).select("_row", F.posexplode("_found").alias("place", "m")).select("_row", "place", "m.*").repartition("_row")
+    of_kind = Window.partitionBy("_row", "kind").orderBy("place")
+    end = F.sum(F.col("gap") + F.char_length("match")).over(of_kind.rowsBetween(Window.unboundedPreceding, 0))
+    tail = F.right(F.concat("left", "match"), F.lit(CONTEXT))
+    each = each.select("*", end.cast("long").alias("end"), *(F.coalesce(F.lag(tail, k).over(of_kind), F.lit("")).alias(f"tail_{k}") for k in (1, 2)))
+    joined = lambda before, after: F.when(F.char_length(after) < CONTEXT, F.concat(before, after)).otherwise(after)
+    each = each.withColumn("start", F.col("end") - F.char_length("match")).withColumn("before", joined(joined(F.col("tail_2"), F.col("tail_1")), F.col("left")))
+    held = F.when(F.col("kind") == "?", F.struct("start", "match", "before"))
+    word = F.last(held, ignorenulls=True).over(Window.partitionBy("_row").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, 0))
+    each = each.withColumn("word", word)
+    inside = F.left(F.col("word.match"), (F.col("start") - F.col("word.start")).cast("int"))
+    return rows.drop("_found"), each.select("_row", "kind", "match", "start", "end", F.concat("word.before", inside).alias("context"))
+
+
+def _pattern(context: Column, start: Column) -> Column:
+    """The last two words, in lower case, with 0 for a digit and @ for a word that holds one; ^ stands for the text's start."""
+    plain = F.translate(F.lower(context), "\t\n\x0b\x0c\r0123456789", "     0000000000")
+    words = F.array_remove(F.split(plain, " "), "")
+    last = F.when(F.size(words) > 2, F.slice(words, -2, 2)).otherwise(words)
+    ends = F.transform(last, lambda word: F.when(F.contains(word, F.lit("@")), "@").otherwise(F.right(word, F.lit(WORD_END))))
+    first = F.when((F.size(words) < 2) & (F.char_length(context) == start), F.array(F.lit("^"))).otherwise(F.array().cast("array<string>"))
+    return F.array_join(F.concat(first, ends), " ")
 
 
 def _trimmed(candidates: DataFrame) -> DataFrame:
     """Without punctuation at the ends."""
     lead = F.char_length("match") - F.char_length(F.ltrim("match", F.lit("([{<\"'")))
     bare = F.rtrim(F.ltrim("match", F.lit("([{<\"'")), F.lit(".,;:!?)]}>\"'"))
-    trimmed = candidates.withColumn("start", F.col("start") + lead).withColumn("match", bare).withColumn("end", F.col("start") + F.char_length("match"))
-    return trimmed.filter(F.char_length("match").between(5, MAX_CANDIDATE) & F.col("pattern").isNotNull())
+    trimmed = candidates.withColumn("context", F.concat("context", F.left("match", lead))).withColumn("start", F.col("start") + lead).withColumn("match", bare).withColumn("end", F.col("start") + F.char_length("match"))
+    return trimmed.filter(F.char_length("match").between(5, MAX_CANDIDATE))
 
 
 def discovered(base: DataFrame, candidates: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """Candidates that confident patterns extract and that overlap no base match: `_row, kind, start, end`."""
     spans = base.select("_row", F.col("start").alias("b_start"), F.col("end").alias("b_end"))
     overlap = (F.col("c._row") == F.col("b._row")) & (F.col("start") < F.col("b_end")) & (F.col("b_start") < F.col("end"))
-    free = stored(candidates.alias("c").join(spans.alias("b"), overlap, "left_anti"))
+    pattern = _pattern(F.col("context"), F.col("start")).alias("pattern")
+    free = stored(candidates.alias("c").join(spans.alias("b"), overlap, "left_anti").select("_row", "match", "start", "end", pattern))
     value = F.xxhash64(F.lower("match"))
     edges = stored(
-        base.filter(F.col("pattern").isNotNull()).select("pattern", value.alias("value"), "kind")
+        base.select(pattern, value.alias("value"), "kind")
         .unionByName(free.select("pattern", value.alias("value"), F.lit(None).cast("string").alias("kind")))
         .groupBy("pattern", "value").agg(F.max("kind").alias("kind"))
     )

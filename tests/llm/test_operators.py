@@ -94,6 +94,29 @@ def test_pii_learns_from_contexts(spark):
     assert found[3][1] == "please write mail to <EMAIL> today"
 
 
+def test_pii_context_is_the_text_before_the_match(spark):
+    known = [f"order 77 from user{k}@example{k}.com came" for k in range(4)]
+    known += [f"reader{k}@example{k}.com wrote" for k in range(4)]
+    known += [f"Contact writer{k}@example{k}.com today" for k in range(4)]
+    known += [f"members of staff are: one{k}@example{k}.com (two{k}@example{k}.com) three{k}@example{k}.com four{k}@example{k}.com" for k in range(4)]
+    words = ["order 77 from alice@localhost1", "bob@localhost2 wrote", "Contact carol@localhost3 today", "members of staff are: dave@localhost4 (erin@localhost5) frank@localhost6", "order 77 sent item5x"]
+    docs = spark.createDataFrame(list(enumerate(known + words)), "doc_id long, text string").orderBy("doc_id")
+    out = pii.find(docs).select("doc_id", pii.redacted(F.col("text"), F.col("spans")).alias("t"))
+    found = [r.t for r in sorted(out.collect()) if r.doc_id >= len(known)]
+    assert found == ["order 77 from <EMAIL>", "<EMAIL> wrote", "Contact <EMAIL> today", "members of staff are: <EMAIL> (<EMAIL>) <EMAIL>", "order 77 sent item5x"]
+
+
+def test_pii_contexts_against_the_text(table, documents):
+    texts = {key: text or "" for key, text in documents}
+    rows, each = pii.occurrences(table.filter("doc_id is not null"), "text", ["doc_id"])
+    found = each.join(rows, "_row").selectExpr("_own_0 as key", "match", "start", "end", "context").collect()
+    assert len(found) > 1000
+    for r in found:
+        before = texts[r.key][: r.start]
+        assert texts[r.key][r.start : r.end] == r.match and before.endswith(r.context)
+        assert r.context == before or len(r.context) >= 100 or len(plain.WORDS.findall(r.context)) > 1
+
+
 def test_near_duplicates(table, documents, empty):
     assert counted(near_duplicates.components(table).collect()) == counted(plain.classes(documents))
     assert near_duplicates.components(empty).count() == 0
