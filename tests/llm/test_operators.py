@@ -106,6 +106,24 @@ def test_pii_context_is_the_text_before_the_match(spark):
     assert found == ["order 77 from <EMAIL>", "<EMAIL> wrote", "Contact <EMAIL> today", "members of staff are: <EMAIL> (<EMAIL>) <EMAIL>", "order 77 sent item5x"]
 
 
+def test_pii_goes_on_while_patterns_are_new(spark):
+    """The pattern of each zone is confident once the last zone's identifiers are known."""
+    new = lambda zone: [f"n{zone}y{j}@localhost" for j in range(3)]
+    texts = [f"zone{zone} mail {x}" for k, zone in enumerate("abcdef") for x in [f"user{j}@example.com" for j in range(9 + 3 * (k == 0))] + new(zone) + (new("abcdef"[k - 1]) if k else [])]
+    out = pii.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert out.filter("size(spans) = 1").count() == len(texts)
+    assert pii.find(out.drop("spans"), rounds=3).filter("size(spans) = 1").count() < len(texts)
+
+
+def test_pii_candidates_of_several_words_and_any_length(spark):
+    texts = [f"my card 4111 1111 1111 1111 {x}" for x in "ab"] + ["my card 4012 8888 8888 1881 c", "my card 5555 5555 5555 4444 d", "my card 3782 8224 6310 005 e"]
+    texts += [f"write to user{k}@example.com" for k in range(4)]
+    last = ["my card 4111 1111 1111 1112, thanks", f"write to {'x' * 300}@localhost"]
+    docs = spark.createDataFrame(list(enumerate(texts + last)), "doc_id long, text string")
+    found = {r.doc_id: r.t for r in pii.find(docs).select("doc_id", pii.redacted(F.col("text"), F.col("spans")).alias("t")).collect()}
+    assert [found[len(texts) + k] for k in (0, 1)] == ["my card <CARD>, thanks", "write to <EMAIL>"]
+
+
 def test_pii_contexts_against_the_text(table, documents):
     texts = {key: text or "" for key, text in documents}
     rows, each = pii.occurrences(table.filter("doc_id is not null"), "text", ["doc_id"])
