@@ -95,7 +95,7 @@ def top_k(
     )
     rows = stored(rows)
     sizes = rows.groupBy(F.size("v").alias("size")).agg(F.count("*").alias("n")).withColumn("shards", F.ceil(F.col("n") / shard_rows).cast("int"))
-    sized = rows.withColumn("size", F.size("v")).join(F.broadcast(sizes.orderBy(F.desc("n")).limit(1 << 16)), "size")
+    sized = rows.withColumn("size", F.size("v")).join(sizes, "size")
     held = sized.withColumn("shard", F.pmod(F.xxhash64("row"), "shards").cast("int")).withColumn("asks", F.lit(False))
     asked = sized.filter("asks").withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
     columns = ["size", "shard", "asks", "row", "id", "v"]

@@ -35,6 +35,13 @@ def test_search_of_few_and_repeated_vectors(spark):
     assert Counter(got) == Counter({(0, 1, 0, one): 2, (0, 2, 3, half): 2})
 
 
+def test_search_leaves_out_no_length(spark):
+    """Vectors of more than 65,536 lengths are too large for a test, so the plan must not bound their number."""
+    docs = spark.createDataFrame([(0, [1.0, 2.0]), (1, [0.5, 0.5])], "vec_id long, embedding array<double>")
+    plan = exact_search.top_k(docs, "vec_id = 0")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner" in plan and "Limit 65536" not in plan
+
+
 def archived(spark, pages, least=0):
     path = f"{shared_folder(spark)}/archives"
     warc.write_archives(warc.resolved(pages, least_bytes=least), path)
