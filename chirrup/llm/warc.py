@@ -5,7 +5,9 @@ it. Records are text up to their payload, so Spark's text writer writes the arch
 record as its separator.
 """
 
+import base64
 import gzip
+import hashlib
 import io
 from collections.abc import Iterator
 
@@ -111,15 +113,25 @@ def _parsed(content: bytes) -> Iterator[tuple]:
     while (headers := _headers(stream)) is not None:
         if not headers[""].startswith("WARC/"):
             raise ValueError("no WARC record where one should begin")
-        block = stream.read(int(headers["content-length"]))
+        block = stream.read(whole := int(headers["content-length"]))
+        if len(block) < whole:
+            raise ValueError(f"a WARC record of {whole} bytes ends after {len(block)}")
         payload, size = block, len(block)
         if headers.get("content-type", "").startswith("application/http"):
             http = _headers(body := io.BytesIO(block))
             payload, size = body.read(), int(http.get("content-length", -1))
         kind = headers.get("warc-type")
         digest = headers.get("warc-payload-digest")
+        digest = digest and digest.removeprefix("sha1:")
+        if kind == "response":
+            if len(payload) < size:
+                raise ValueError(f"a payload of {size} bytes ends after {len(payload)}")
+            said, size = headers.get("warc-payload-digest", ""), len(payload)
+            digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
+            if said.startswith("sha1:") and said != f"sha1:{digest}":
+                raise ValueError(f"a payload has digest sha1:{digest}, its header says {said}")
         yield (
-            headers.get("warc-record-id"), kind, headers.get("warc-target-uri"), digest and digest.removeprefix("sha1:"),
+            headers.get("warc-record-id"), kind, headers.get("warc-target-uri"), digest,
             len(payload) if size < 0 else size, headers.get("warc-refers-to"), None if kind == "revisit" else payload,
         )
 
@@ -128,7 +140,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """The records of WARC files, plain or gzip: `record_id, record_type, target_uri, payload_digest, payload_bytes, refers_to, payload`.
 
     A file is read by one task, which holds its compressed bytes and one record at a time; records are found by their
-    lengths, so a payload may hold anything. The payload of a revisit is null; its size is that of the whole payload.
+    lengths, so a payload may hold anything. Size and digest of a response are those of the payload as read; a record or
+    payload that ends early, or whose SHA-1 is not that of its header, stops the job. The payload of a revisit is null; its size is that of the whole payload.
     """
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

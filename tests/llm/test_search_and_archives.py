@@ -3,6 +3,7 @@ import hashlib
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from chirrup.llm import exact_search, warc
@@ -68,3 +69,16 @@ def test_small_payloads_can_stay_and_no_pages_make_no_records(spark):
     pages = spark.createDataFrame([(1, "a", "same"), (2, "b", "same")], "page_id long, url string, html string")
     assert {r.record_type for r in archived(spark, pages, least=5)} == {"response"}
     assert warc.resolved(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(("damage", "says"), [(lambda x: x.replace(b"same", b"sane"), "its header says"), (lambda x: x[:-6], "ends after"),
+                                              (lambda x: x.replace(b"Length: 4\r", b"Length: 9\r"), "ends after")])
+def test_damaged_archives_stop_the_job(spark, tmp_path, damage, says):
+    pages = spark.createDataFrame([(1, "a", "same")], "page_id long, url string, html string")
+    path = f"{shared_folder(spark)}/archives"
+    warc.write_archives(warc.resolved(pages, least_bytes=0), path, compression="none")
+    whole = spark.read.format("binaryFile").load(path).filter("length > 0").first()["content"]
+    assert bytes(next(warc._parsed(bytes(whole)))[-1]) == b"same"
+    (tmp_path / "damaged.warc").write_bytes(damage(bytes(whole)))
+    with pytest.raises(Exception, match=says):
+        warc.read_archives(spark, str(tmp_path)).collect()
