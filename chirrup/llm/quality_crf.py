@@ -4,6 +4,7 @@ Every line is good or bad, given measures of the line and of its neighbours. The
 labelled documents; each document's score comes from the forward-backward marginals of its lines, weighted by length.
 """
 
+import warnings
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -16,10 +17,10 @@ from pyspark.sql.functions import arrow_udf
 from chirrup.llm.common import text_or_empty
 from chirrup.llm.pretokens import chunks, text_buffers, words_of
 
-# The field is fitted on at most so many labelled documents, of at most so many lines and bytes each.
+# The field is fitted on at most so many labelled documents, on at most so many lines and characters of each.
 TRAIN_DOCUMENTS = 4096
 TRAIN_LINES = 64
-TRAIN_BYTES = 50_000
+TRAIN_CHARACTERS = 50_000
 STEPS = 150
 ROUNDS = 2
 PENALTY = 1e-3
@@ -202,17 +203,26 @@ def train(texts: list[str], good: list[int]) -> Crf:
     return Crf(weights, chain, (a, b), prior)
 
 
-def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", documents: int = TRAIN_DOCUMENTS) -> Crf:
+def fit(
+    docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
+    documents: int = TRAIN_DOCUMENTS, lines: int = TRAIN_LINES, characters: int = TRAIN_CHARACTERS,
+) -> Crf:
     """Fit on at most `documents` labelled documents, those with the smallest hashes of their keys.
 
-    Of these, texts beyond `TRAIN_LINES` lines or `TRAIN_BYTES` bytes teach nothing; every text is scored whole. Only the
-    text and the label are used. Documents without a label, and null labels, teach nothing.
+    A text of more than `lines` lines teaches by a run of so many of them, which its hash chooses, and by at most the
+    first `characters` of the run; every text is scored whole. Only the text and the label are used. Documents without a
+    label, and null labels, teach nothing. A sample without both labels gives all texts one score, with a warning.
     """
     known = labels.filter(F.col(label).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.max(F.col(label).cast("int")).alias("_good"))
     sample = known.orderBy(F.xxhash64("_key"), "_key").limit(documents)
     rows = docs.join(F.broadcast(sample), F.col(key) == F.col("_key")).select("_key", text_or_empty(text).alias("_text"), "_good")
-    short = (F.octet_length("_text") <= TRAIN_BYTES) & (F.octet_length("_text") - F.octet_length(F.replace("_text", F.lit("\n"))) < TRAIN_LINES)
-    found = rows.filter(short).orderBy(F.xxhash64("_key"), "_key", "_text").limit(documents).collect()
+    parts = F.split("_text", "\n")
+    first = F.pmod(F.xxhash64("_key", "_text"), F.size(parts) - lines + 1).cast("int") + 1
+    run = F.when(F.size(parts) > lines, F.array_join(F.slice(parts, first, F.lit(lines)), "\n")).otherwise(F.col("_text"))
+    rows = rows.select("_key", F.left(run, F.lit(characters)).alias("_text"), "_good")
+    found = rows.orderBy(F.xxhash64("_key"), "_key", "_text").limit(documents).collect()
+    if len({row["_good"] for row in found}) < 2:
+        warnings.warn(f"the {len(found)} sampled texts have no two labels; all texts get one score", stacklevel=2)
     return train([row["_text"] for row in found], [row["_good"] for row in found])
 
 

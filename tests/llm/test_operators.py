@@ -214,6 +214,17 @@ def test_quality_crf(spark, table, empty):
     assert quality_crf.score(empty, model).count() == 0
 
 
+def test_quality_crf_learns_from_long_texts(spark):
+    """All labelled texts are longer than the bounds on lines, on characters, or both."""
+    text = "array_join(transform(sequence(1, 90), x -> if(id % 2 = 0, 'some words of plain prose in a line', '#$%& ||| ### 12 *** <<>> $$')), if(id < 20, '\n', ' '))"
+    docs = spark.range(40).selectExpr("id as doc_id", f"repeat({text}, if(id < 10, 1, 30)) as text")
+    labels = spark.range(40).selectExpr("id as doc_id", "cast(id % 2 = 0 as int) as quality")
+    model = quality_crf.fit(docs, labels)
+    assert all((r.score >= 0.7) == (r.doc_id % 2 == 0) for r in quality_crf.score(docs, model).collect())
+    with pytest.warns(UserWarning, match="no two labels"):
+        quality_crf.fit(docs, labels.filter("quality = 1"))
+
+
 def test_forward_backward_equals_enumeration():
     rng = np.random.default_rng(3)
     logits, chain, first = rng.normal(size=9), rng.normal(size=(2, 2)), np.array([0, 4, 4, 9])
