@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chirrup.llm import bpe_codec, exact_search, near_duplicates, packing, pii, quality_crf, quality_rules, repeats, token_counts, warc
+from chirrup.llm import (
+    bpe_codec,
+    exact_search,
+    near_duplicates,
+    packing,
+    periodic_runs,
+    pii,
+    quality_crf,
+    quality_rules,
+    ranked_search,
+    repeats,
+    token_counts,
+    toxicity,
+    warc,
+)
 from chirrup.sources.tables import shared_folder
 
 # The layout of the tables.
@@ -15,10 +29,12 @@ SCHEMAS = {
     "pages": "page_id long, url string, html string",
     "embeddings": "vec_id long, embedding array<float>",
     "labels": "doc_id long, quality int, toxic int",
+    "benchmark": "item_id long, text string",
 }
 
 MAX_TOKENS = 1024
 MIN_QUALITY = 0.7
+MIN_TOXICITY = 0.3
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -116,6 +132,54 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.top_k(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").filter(~held_out()))
+    scored = toxicity.score(docs, model)
+    return scored.select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= MIN_TOXICITY).cast("int").alias("predicted")
+    )
+
+
+def repeated_tails(docs: DataFrame) -> DataFrame:
+    """`doc_id, text`; in one of ten documents, by the hash of its id, the words from a place on repeat with a period."""
+    words = F.array_remove(F.split(F.translate(F.coalesce("text", F.lit("")), "\t\n\x0b\x0c\r", "     "), " "), "")
+    hashed = F.crc32(F.encode(F.col("doc_id").cast("string"), "utf-8"))
+    hit = docs.select("doc_id", "text", hashed.alias("h"), F.floor(hashed / 10).alias("g"), F.when(hashed % 10 == 0, words).alias("words"))
+    a = F.expr("g % size(words)").cast("int")
+    rest = F.size("words") - a
+    period = F.expr("1 + (size(words) - g % size(words)) div (3 + g % 8)").cast("int")
+    unit = F.slice("words", a + 1, period)
+    tail = F.slice(F.flatten(F.array_repeat(unit, F.ceil(rest / period).cast("int"))), F.lit(1), rest)
+    changed = F.array_join(F.concat(F.slice("words", F.lit(1), a), tail), " ")
+    return hit.select("doc_id", F.when(F.size("words") > 0, changed).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find(repeated_tails(table(spark, sf_dir, "documents")))
+    strongest = F.reduce(
+        F.slice("runs", 2, F.greatest(F.size("runs") - 1, F.lit(0))),
+        F.get("runs", F.lit(0)),  # of equal ones the first stays
+        lambda best, run: F.when(run["length"] * best["period"] > best["length"] * run["period"], run).otherwise(best),
+    )
+    lines = F.transform("runs", lambda run: F.concat(F.concat_ws(",", run["start"], run["length"], run["period"]), F.lit("\n")))
+    best = found.select("doc_id", "runs", "collapsed", strongest.alias("best"), F.array_join(lines, "").alias("lines"))
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2("lines", 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pii": op1_pii,
@@ -128,6 +192,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_exact_search": op8_exact_search,
         "op9_quality_rules": op9_quality_rules,
         "op10_warc": op10_warc,
+        "op11_ranked_search": op11_ranked_search,
+        "op12_toxicity": op12_toxicity,
+        "op13_periodic_runs": op13_periodic_runs,
     }
 
 
@@ -141,5 +208,28 @@ SELECT query_id, rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scores) WHERE rank <= 10"""
 
 
+RANKED_SEARCH_SQL = r"""WITH cut AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+lengths AS (SELECT doc_id, count(*)::BIGINT AS n FROM cut GROUP BY doc_id),
+total AS (SELECT count(*)::BIGINT AS texts, sum(n)::BIGINT AS terms FROM lengths),
+uses AS (SELECT doc_id, term, count(*)::BIGINT AS tf FROM cut GROUP BY doc_id, term),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(texts) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM uses, total GROUP BY term),
+asked AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+counted AS (SELECT item_id, term, count(*)::BIGINT AS repeats FROM asked GROUP BY item_id, term),
+scores AS (
+  SELECT item_id, doc_id,
+         sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * texts) // terms))))::BIGINT AS score
+  FROM counted JOIN weights USING (term) JOIN uses USING (term) JOIN lengths USING (doc_id), total
+  GROUP BY item_id, doc_id)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM scores WHERE score > 0)
+WHERE rank <= 10"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_exact_search": EXACT_SEARCH_SQL}
+    return {"op8_exact_search": EXACT_SEARCH_SQL, "op11_ranked_search": RANKED_SEARCH_SQL}

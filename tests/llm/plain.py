@@ -1,8 +1,12 @@
 """Plain, whole-in-memory versions of the operators."""
 
 import base64
+import hashlib
+import math
 import re
+import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -116,3 +120,71 @@ def best(vectors, queries, k=10):
         scores = sorted((-int(np.dot(v, vectors[q])), i) for i, v in vectors.items() if i != q)
         out += [(q, rank + 1, i, -s) for rank, (s, i) in enumerate(scores[:k])]
     return out
+
+
+TERMS = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def terms(text):
+    return TERMS.findall((text or "").translate({c: c + 32 for c in range(65, 91)}))
+
+
+def ranked(rows, items, k=10):
+    """`(item, rank, key, score)` of `(key, text)` rows for `(item, text)` rows."""
+    counts = [Counter(terms(text)) for _, text in rows]
+    lengths = [sum(own.values()) for own in counts]
+    n, total, uses = sum(size > 0 for size in lengths), sum(lengths), Counter(t for own in counts for t in own)
+    weight = {t: math.floor(1000 * math.log((2 * n + 2) / (2 * uses[t] + 1))) for t in uses}
+    out = []
+    for item, text in items:
+        asked, found = Counter(terms(text)), []
+        for (key, _), own, size in zip(rows, counts, lengths):
+            m = 25 + 75 * size * n // total if size else 0
+            score = sum(c * weight[t] * (10**9 * own[t] // (1000 * own[t] + 8 * m)) for t, c in asked.items() if t in own)
+            if score > 0:
+                found.append((-score, key is None, key or 0, key))
+        out += [(item, rank + 1, key, -score) for rank, (score, _, _, key) in enumerate(sorted(found, key=lambda x: x[:3])[:k])]
+    return out
+
+
+def smallest_period(words):
+    border, k = [0] * len(words), 0
+    for i in range(1, len(words)):
+        while k and words[i] != words[k]:
+            k = border[k - 1]
+        k += words[i] == words[k]
+        border[i] = k
+    return len(words) - border[-1]
+
+
+def runs(words, least=24, periods=3):
+    """`(start, length, period)` of each run, by start and period."""
+    found = set()
+    for q in range(1, len(words) // periods + 1):
+        i = 0
+        while i < len(words) - q:
+            j = i
+            while j < len(words) - q and words[j] == words[j + q]:
+                j += 1
+            if j > i and j + q - i >= max(least, periods * q) and smallest_period(words[i : j + q]) == q:
+                found.add((i, j + q - i, q))
+            i = j + 1
+    return sorted(found, key=lambda run: (run[0], run[2]))
+
+
+def periodic(key, text):
+    """The row of the query for one document."""
+    words = WORDS.findall(text or "")
+    n, h = len(words), None if key is None else zlib.crc32(str(key).encode())
+    if h is not None and h % 10 == 0 and n:
+        g = h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    found = runs(words)
+    gone = {i for s, length, q in found for i in range(s + q, s + length)}
+    top = min(found, key=lambda run: (-Fraction(run[1], run[2]), run[0], run[2]), default=None)
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    lines = "".join(f"{s},{length},{q}\n" for s, length, q in found)
+    best = (*top, 1000 * top[1] // top[2]) if top else (None,) * 4
+    return (key, len(found), *best, sha(lines), sha(" ".join(w for i, w in enumerate(words) if i not in gone)))

@@ -1,0 +1,117 @@
+import random
+import warnings
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from chirrup.llm import queries, toxicity
+from chirrup.llm.pretokens import text_buffers
+from tests.llm import plain
+
+INSULTS = ["dumbhead", "rotter", "nastyface", "stinker"]
+
+
+def prose(rnd, n, insults=0):
+    words = ["".join(rnd.choice("abcdefgh") for _ in range(rnd.randrange(2, 6))) for _ in range(n)]
+    for _ in range(insults):
+        words.insert(rnd.randrange(len(words) + 1), rnd.choice(INSULTS).title() + rnd.choice(["", ",", "!"]))
+    return " ".join(words)
+
+
+@pytest.fixture(scope="module")
+def texts():
+    rnd = random.Random(4)
+    return [(k, prose(rnd, rnd.randrange(5, 200), 3 if k % 8 == 0 else 0), int(k % 8 == 0)) for k in range(1600)]
+
+
+@pytest.fixture(scope="module")
+def model(spark, texts):
+    docs = spark.createDataFrame(texts, "doc_id long, text string, truth int").drop("truth")
+    # Only half of the toxic texts are confirmed, and nothing says of any text that it is clean.
+    labels = spark.createDataFrame([(k, 1) for k, _, truth in texts if truth and k < 800], "doc_id long, toxic int")
+    return toxicity.fit(docs, labels, class_prior=1 / 8)
+
+
+def scored(spark, model, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    return {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+
+
+def test_unlabelled_toxic_texts_are_found(spark, texts, model):
+    found = scored(spark, model, [(k, text) for k, text, _ in texts])
+    unseen = [(k, truth) for k, _, truth in texts if k >= 800]
+    assert np.mean([found[k] >= 0.3 for k, truth in unseen if truth]) > 0.95
+    assert np.mean([found[k] >= 0.3 for k, truth in unseen if not truth]) < 0.02
+    assert abs(np.mean([found[k] for k, _, _ in texts]) - 1 / 8) < 0.03  # the chances keep the prior
+
+
+def test_scores_are_those_of_plain_sums(spark, table, documents, model):
+    """The score of a text is the sigmoid of its features' weights, here taken one by one."""
+    weights = dict(zip(model.columns.tolist(), model.weights.tolist()))
+
+    def plain_score(text):
+        words, uses = plain.terms(text), {}
+        for word in words:
+            blob = pa.array([word.encode()], pa.binary())
+            for feature in toxicity._features(blob)[1].tolist():
+                uses[feature] = uses.get(feature, 0) + 1
+        total = sum(weights.get(f, 0) * np.log1p(n) for f, n in uses.items()) * 10 / np.sqrt(max(len(words), 10))
+        return 1 / (1 + np.exp(-(model.bias + total)))
+
+    got = toxicity.score(table, model, out="n_words")
+    assert got.columns == table.columns
+    short = {(key, text) for key, text in documents if len(text or "") < 3000}
+    found = {(r.doc_id, r.text): r.n_words for r in got.collect()}
+    assert all(abs(found[row] - plain_score(row[1])) < 1e-9 for row in short) and all(0 <= s <= 1 for s in found.values())
+
+
+def test_equal_texts_and_empty_tables(spark, empty, model, table):
+    assert toxicity.score(empty, model).count() == 0
+    text = prose(random.Random(1), 60, 2)
+    found = scored(spark, model, [(1, text), (2, text), (3, None), (4, ""), (5, " \n"), (6, "\U0001F600 漢")])
+    assert found[1] == found[2] > found[3] == found[4] == found[5] and found[3] < 0.3
+
+
+def test_the_model_does_not_depend_on_order_or_partitions(spark, texts):
+    docs = spark.createDataFrame(texts, "doc_id long, text string, toxic int")
+    bounds = {"toxic_texts": 50, "unlabelled_texts": 100}
+    first = toxicity.fit(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"), **bounds)
+    again = docs.orderBy(F.desc("text")).repartition(5)
+    second = toxicity.fit(again.select("doc_id", "text"), again.select("doc_id", "toxic"), **bounds)
+    assert all(np.array_equal(a, b) for a, b in zip(first, second))
+
+
+def test_nothing_to_learn_from_gives_one_score(spark, table, empty):
+    labels = spark.createDataFrame([(0, None), (None, 1)], "doc_id long, toxic int")
+    for own, prior, want in ((labels, None, None), (labels.limit(0), None, 0.0), (labels.limit(0), 0.25, 0.25)):
+        with pytest.warns(UserWarning, match="teach nothing"):
+            model = toxicity.fit(table, own, class_prior=prior)
+        scores = {r.score for r in toxicity.score(table, model).collect()}
+        assert len(scores) == 1 and (want is None or abs(scores.pop() - want) < 1e-12)
+    with pytest.warns(UserWarning, match="teach nothing"):
+        toxicity.fit(empty, spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int"))
+
+
+def test_the_risk_goes_back_where_it_is_negative():
+    """A model that could tell all unlabelled texts from the known ones does not call all of them clean."""
+    rnd = random.Random(9)
+    known = [prose(rnd, 30, 2) for _ in range(100)]
+    other = [prose(rnd, 30, 2 if k % 5 == 0 else 0) for k in range(500)]
+    model = toxicity.train(known, other, 0.2)
+    scores = model.scores(*reversed(text_buffers(pa.array(other, pa.string()))))
+    assert 0.15 < scores.mean() < 0.25 and scores[::5].min() > 0.3
+
+
+def test_held_out_documents(spark):
+    """On the driver's documents, of which the query learns three of four labels."""
+    folder = "/root/testdata/sf0.1"
+    with warnings.catch_warnings():
+        warnings.simplefilter("error", UserWarning)
+        found = queries.op12_toxicity(spark, folder)
+    assert found.columns == ["doc_id", "held_out", "score", "predicted"]
+    truth = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic")
+    rows = found.join(truth, "doc_id").filter("held_out").groupBy("toxic").agg(F.avg("predicted").alias("share")).collect()
+    share = {r.toxic: r.share for r in rows}
+    assert share[1] > 0.9 and share[0] < 0.01
