@@ -26,7 +26,7 @@ from chirrup.operators.bronze import bronze
 from chirrup.operators.polarity import score
 from chirrup.operators.silver import silver
 from chirrup.plans.pipeline import run
-from chirrup.schemas import NEGATIVE_WORDS, POSITIVE_WORDS, STARTER_LEXICON, TWEET
+from chirrup.schemas import NEGATIVE_WORDS, POSITIVE_WORDS, STARTER_DEGREES, STARTER_LEXICON, TWEET
 from chirrup.sources.lexicon import starter_lexicon
 from chirrup.sources.records import export_csv, read_csv, read_predictions, read_tweets, write_predictions
 from chirrup.sources.tables import shared_folder
@@ -123,6 +123,17 @@ def _fine_score(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     return score(_tweets(spark, sf_dir), "tweet", lexicon, **options).select("id", "sentiment_score")
 
 
+# Words that change the word after them, by the id of the tweet; the same expression runs in both engines.
+DEGREE_TEXT = """CASE id % 9 WHEN 0 THEN ' not' WHEN 1 THEN ' Very' WHEN 2 THEN ' not very' WHEN 3 THEN ' never the of'
+                             WHEN 4 THEN ' not the of the' WHEN 5 THEN ' slightly, so' WHEN 6 THEN ' is not bad but so'
+                             WHEN 7 THEN ' isn\\'t without' ELSE '' END || tweet"""
+
+
+def _degree_score(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    tweets = _tweets(spark, sf_dir).withColumn("tweet", F.expr(DEGREE_TEXT))
+    return score(tweets, "tweet", starter_lexicon(spark, degrees=True), **options).select("id", "sentiment_score")
+
+
 def _ml_optimality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether the fitted regression is at the one minimum of its loss: the gradient for each term, and for the intercept.
 
@@ -224,6 +235,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "polarity_score_by_join": _polarity_score_by_join,
         "polarity_score_fine": _fine_score,
         "polarity_score_fine_by_join": lambda spark, sf_dir: _fine_score(spark, sf_dir, max_broadcast_words=0),
+        "polarity_score_degrees": _degree_score,
+        "polarity_score_degrees_by_join": lambda spark, sf_dir: _degree_score(spark, sf_dir, max_broadcast_words=0),
         "valid_tweets": _silver,
         "hourly_sentiment_trend": _on_silver(trends.hourly_sentiment_trend),
         "discrepant_tweets": _on_silver(anomalies.discrepant_tweets),
@@ -283,6 +296,30 @@ scores AS (
   SELECT id, round(sum(round(polarity * 1000000)::BIGINT)::DOUBLE / count(*)::DOUBLE / 1000000, 6) + 0.0::DOUBLE AS sentiment_score
   FROM hits JOIN lexicon USING (word) GROUP BY id)"""
 
+_DEGREE_SCORES = rf"""lexicon(word, polarity, degree) AS (
+  SELECT word, polarity, NULL FROM (VALUES {_LEXICON_ROWS}) p(word, polarity) UNION ALL
+  SELECT word, NULL, degree FROM (VALUES {_lexicon_rows(STARTER_DEGREES)}) d(word, degree)),
+tokens AS (
+  SELECT id, unnest(words) AS word, generate_subscripts(words, 1) AS pos
+  FROM (SELECT id, regexp_extract_all(lower({DEGREE_TEXT.replace("\\'", "''")}), '\p{{L}}+') AS words FROM tweets WHERE tweet IS NOT NULL)),
+marks AS (
+  SELECT id, pos, 0 AS kind, polarity, NULL AS degree FROM tokens JOIN lexicon USING (word) WHERE polarity IS NOT NULL UNION ALL
+  SELECT id, pos, 1 AS kind, NULL AS polarity, degree FROM tokens JOIN lexicon USING (word) WHERE degree IS NOT NULL),
+opened AS (
+  SELECT *, CASE WHEN lag(kind) OVER w = 1 AND pos - lag(pos) OVER w <= 3 THEN 0 ELSE 1 END AS opens
+  FROM marks WINDOW w AS (PARTITION BY id ORDER BY pos, kind)),
+chained AS (SELECT *, sum(opens) OVER (PARTITION BY id ORDER BY pos, kind) AS chain FROM opened),
+factors AS (
+  SELECT id, max(polarity) AS polarity, count(*) FILTER (WHERE degree < 0) AS negations,
+         list_reduce(list_prepend(1.0::DOUBLE, coalesce(list(degree ORDER BY pos) FILTER (WHERE degree < 0), [])), lambda a, b: a * b) AS negation,
+         list_reduce(list_prepend(1.0::DOUBLE, coalesce(list(degree ORDER BY pos) FILTER (WHERE degree > 0), [])), lambda a, b: a * b) AS degree
+  FROM chained GROUP BY id, chain HAVING max(polarity) IS NOT NULL),
+gains AS (
+  SELECT id, least(greatest(floor(round(polarity * 1000000)::BIGINT * CASE WHEN negations > 0 THEN negation / degree ELSE degree END + 0.5::DOUBLE),
+                            -1000000), 1000000)::BIGINT AS gain FROM factors),
+scores AS (
+  SELECT id, round(sum(gain)::DOUBLE / count(*)::DOUBLE / 1000000, 6) + 0.0::DOUBLE AS sentiment_score FROM gains GROUP BY id)"""
+
 _SILVER = """scored AS (
   SELECT b.*, CASE label WHEN 1 THEN 'positive' WHEN 0 THEN 'negative' ELSE 'neutral' END AS sentiment_label,
          coalesce(s.sentiment_score, 0.0::DOUBLE) AS sentiment_score
@@ -397,6 +434,7 @@ def oracle_sql() -> dict[str, str]:
     sql["polarity_score_fine"] = sql["polarity_score_fine_by_join"] = sql["polarity_score"].replace(
         _LEXICON_ROWS, _lexicon_rows(FINE_LEXICON)
     )
+    sql["polarity_score_degrees"] = sql["polarity_score_degrees_by_join"] = sql["polarity_score"].replace(_SCORES, _DEGREE_SCORES)
     sql["tfidf_vocabulary"] = (
         f"WITH {_TWEETS},\n{_TERMS}\nSELECT term, term_count, doc_count, round(idf, 6) AS idf FROM vocabulary"
     )

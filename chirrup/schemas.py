@@ -20,6 +20,9 @@ LEXICON = T.StructType([
     T.StructField("polarity", T.DoubleType()),
 ])
 
+# A lexicon of words and of words that change them: a degree below 0 negates, others strengthen or weaken.
+LEXICON_WITH_DEGREES = T.StructType([*LEXICON, T.StructField("degree", T.DoubleType())])
+
 # The words counted in negative and in positive tweets.
 NEGATIVE_WORDS = [
     "bad", "attack", "lost", "hate", "#rip", "aww", "empty", "dead",
@@ -57,3 +60,10 @@ STARTER_LEXICON = {
     "love": 0.5, "melancholy": -0.4, "motivation": 0.3, "sad": -0.5, "success": 0.4, "thanks": 0.2,
     "win": 0.8,
 }
+
+# Starter negations and degree words, with degrees of our own. "t" is what a word like "isn't" ends in.
+STARTER_DEGREES = {
+    "absolutely": 1.4, "almost": 0.8, "barely": 0.5, "extremely": 1.5, "hardly": -0.3, "never": -0.5, "no": -0.5,
+    "not": -0.5, "quite": 1.1, "really": 1.3, "slightly": 0.5, "so": 1.2, "somewhat": 0.7, "t": -0.5, "too": 1.2,
+    "totally": 1.4, "very": 1.3, "without": -0.5,
+}

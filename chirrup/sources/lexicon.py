@@ -1,20 +1,24 @@
-"""Lexicon tables `(word, polarity)`."""
+"""Lexicon tables `(word, polarity)`, or `(word, polarity, degree)` with the words that change others."""
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chirrup.schemas import LEXICON, STARTER_LEXICON
+from chirrup.schemas import LEXICON, LEXICON_WITH_DEGREES, STARTER_DEGREES, STARTER_LEXICON
 
 
-def starter_lexicon(spark: SparkSession) -> DataFrame:
-    """The small lexicon that comes with the package."""
+def starter_lexicon(spark: SparkSession, degrees: bool = False) -> DataFrame:
+    """The small lexicon that comes with the package, if asked with its negations and degree words."""
     rows = ", ".join(f"('{word}', {polarity}D)" for word, polarity in STARTER_LEXICON.items())
-    return spark.sql(f"SELECT * FROM VALUES {rows} AS lexicon(word, polarity)")
+    words = spark.sql(f"SELECT * FROM VALUES {rows} AS lexicon(word, polarity)")
+    if not degrees:
+        return words
+    rows = ", ".join(f"('{word}', {degree}D)" for word, degree in STARTER_DEGREES.items())
+    return words.unionByName(spark.sql(f"SELECT * FROM VALUES {rows} AS lexicon(word, degree)"), allowMissingColumns=True)
 
 
-def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
-    """A CSV file with a header and the columns `word, polarity`."""
-    return spark.read.schema(LEXICON).option("header", True).csv(path)
+def read_lexicon(spark: SparkSession, path: str, degrees: bool = False) -> DataFrame:
+    """A CSV file with a header and the columns `word, polarity`, or `word, polarity, degree`; empty fields are null."""
+    return spark.read.schema(LEXICON_WITH_DEGREES if degrees else LEXICON).option("header", True).csv(path)
 
 
 def read_xml_lexicon(spark: SparkSession, path: str) -> DataFrame:
