@@ -97,6 +97,15 @@ def _bronze(spark: SparkSession, sf_dir: str, compat: bool = False) -> DataFrame
     return bronze(_tweets(spark, sf_dir), _predictions(spark, sf_dir), compat)
 
 
+# Each event is a prediction for one and the same tweet, half of them different ones.
+HOT_PREDICTIONS = "SELECT 7 AS id, 'model ' || (event_id % 2 * event_id) AS ml_sentiment FROM {1}"
+
+
+def _hot_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hot = spark.sql(HOT_PREDICTIONS.format("", "{events}"), events=_table(spark, sf_dir, "events"))
+    return bronze(_tweets(spark, sf_dir), _predictions(spark, sf_dir).unionAll(hot))
+
+
 def _silver(spark: SparkSession, sf_dir: str, compat: bool = False) -> DataFrame:
     return silver(_bronze(spark, sf_dir, compat), starter_lexicon(spark))
 
@@ -168,6 +177,12 @@ def _prediction_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_predictions(spark, path)
 
 
+def _prediction_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_folder(spark)}/predictions"
+    write_predictions(_predictions(spark, sf_dir).repartition(3), path, array=True)
+    return read_predictions(spark, path, array=True)
+
+
 def _tweet_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_folder(spark)}/tweets"
     _tweets(spark, sf_dir).write.json(path)
@@ -225,6 +240,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {
         "tweet_data": _bronze,
         "tweet_data_compat": lambda spark, sf_dir: _bronze(spark, sf_dir, compat=True),
+        "tweet_data_hot": _hot_bronze,
         "ml_predictions": lambda spark, sf_dir: predictions.fit_predict(_tweets(spark, sf_dir)),
         "ml_optimality": _ml_optimality,
         "tfidf_vocabulary": lambda spark, sf_dir: predictions.vocabulary(_tweets(spark, sf_dir)).withColumn(
@@ -255,6 +271,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "tweet_file": _tweet_file,
         "prediction_file": _prediction_file,
+        "prediction_array": _prediction_array,
         "replay_ingest": _replay_ingest,
         "pipeline_run": _pipeline_run,
         "csv_export": _csv_export,
@@ -426,6 +443,8 @@ def oracle_sql() -> dict[str, str]:
     for name in ("ml_sentiment_accuracy", "ml_vs_label_comparison"):
         sql[f"{name}_compat"] = f"WITH {_SILVER_COMPAT_CTES}\n{_TABLE_SQL[name]}"
     sql["tweet_data_compat"] = f"WITH {_TWEETS},\n{_PREDICTIONS},\n{_BRONZE_COMPAT}\nSELECT * FROM bronze"
+    hot = _PREDICTIONS[:-1] + "\n  UNION ALL " + HOT_PREDICTIONS.format("", "events") + ")"
+    sql["tweet_data_hot"] = f"WITH {_TWEETS},\n{hot},\n{_BRONZE}\nSELECT * FROM bronze"
     sql["polarity_score"] = sql["polarity_score_by_join"] = (
         f"WITH {_TWEETS},\n{_SCORES}\n"
         "SELECT t.id, coalesce(s.sentiment_score, 0.0::DOUBLE) AS sentiment_score "
@@ -449,7 +468,7 @@ raw_weights AS (
   FROM term_uses u JOIN vocabulary v USING (term) GROUP BY u.id, u.term)
 SELECT id, term, round(weight / sqrt(sum(weight * weight) OVER (PARTITION BY id)), 6) AS weight FROM raw_weights"""
     sql["tweet_file"] = f"WITH {_TWEETS}\nSELECT * FROM tweets"
-    sql["prediction_file"] = f"WITH {_PREDICTIONS}\nSELECT * FROM predictions"
+    sql["prediction_file"] = sql["prediction_array"] = f"WITH {_PREDICTIONS}\nSELECT * FROM predictions"
     sql["replay_ingest"] = (
         f"WITH {_TWEETS}\nSELECT *, CASE label WHEN 1 THEN strftime(make_timestamp(timestamp * 1000), '%Y-%m-%d') "
         "WHEN 0 THEN '' ELSE 'default' END AS key FROM tweets"

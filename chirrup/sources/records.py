@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chirrup.schemas import PREDICTION, TWEET
+from chirrup.sources.arrays import as_arrays, read_records
 
 
 def _whole(text: Column) -> Column:
@@ -43,18 +44,26 @@ def rejected_tweets(spark: SparkSession, path: str) -> DataFrame:
     return _rejected(_read(spark, path, TWEET, mode="PERMISSIVE"), TWEET)
 
 
-def read_predictions(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_predictions(spark: SparkSession, path: str, multi_line: bool = False, array: bool = False) -> DataFrame:
     """JSON lines or a JSON array on one line; `multi_line=True` for an array spread over several lines.
 
     Only `id` and `ml_sentiment` are read, whatever else the records carry; ids as in `read_tweets`. An array is one row
-    of text, and a file with `multi_line` one task, so large files are better written as lines.
+    of text, and a file with `multi_line` one task. `array=True` is for large files of arrays, on one line or on many:
+    byte ranges of a file are read by different tasks, see `arrays.read_records`.
     """
-    return _typed(_read(spark, path, PREDICTION, multiLine=multi_line), PREDICTION)
-
-
-def write_predictions(predictions: DataFrame, path: str) -> None:
-    """JSON lines, which `read_predictions` reads back."""
-    predictions.select("id", "ml_sentiment").write.mode("overwrite").json(path)
+    if not array:
+        return _typed(_read(spark, path, PREDICTION, multiLine=multi_line), PREDICTION)
+    fields = T.StructType([T.StructField(name, T.StringType()) for name in PREDICTION.names])
+    return _typed(read_records(spark, path).select(F.from_json("value", fields).alias("record")).select("record.*"), PREDICTION)
+
+
+def write_predictions(predictions: DataFrame, path: str, array: bool = False) -> None:
+    """JSON lines, or with `array=True` one JSON array for each task, which `read_predictions` reads back."""
+    named = predictions.select("id", "ml_sentiment")
+    if array:
+        as_arrays(named.select(F.to_json(F.struct("id", "ml_sentiment")).alias("value"))).write.mode("overwrite").text(path)
+    else:
+        named.write.mode("overwrite").json(path)
 
 
 # A quote inside a quoted field is doubled, as other CSV readers expect.

@@ -68,6 +68,55 @@ def test_a_hot_prediction_id_is_expanded_by_many_tasks(spark):
     assert max(sizes) <= 0.1 * sum(sizes)
 
 
+def spread(spark, tweets, predictions, n_tasks=16):
+    """The numbers of rows by task."""
+    spark.conf.set("spark.sql.shuffle.partitions", str(n_tasks))
+    try:
+        df = bronze(tweets, predictions)
+        return [row["count"] for row in df.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_many_different_predictions_of_one_id_are_joined_by_many_tasks(spark):
+    hot = spark.range(8_000_000).selectExpr("1L AS id", "string(id) AS ml_sentiment")
+    sizes = spread(spark, tweets_df(spark), hot)
+    assert sum(sizes) == 8_000_000 + tweets_df(spark).count() - 1
+    assert max(sizes) <= 0.1 * sum(sizes)
+
+
+def test_an_id_that_is_hot_on_both_sides_is_joined_by_many_tasks(spark):
+    tweets = spark.range(3000).selectExpr("if(id % 3 = 0, 4, id) AS id", "1L AS label", "id AS timestamp", "'t' AS tweet", "id AS user_id")
+    hot = spark.range(18_000).selectExpr("if(id % 3 = 0, 4, id) AS id", "string(id % 4500) AS ml_sentiment")
+    sizes = spread(spark, tweets, hot)
+    want = tweets.join(hot, "id", "left").count()
+    assert sum(sizes) == want > 6_000_000
+    assert max(sizes) <= 0.1 * sum(sizes)
+
+
+def test_a_mixture_of_hot_ids_equals_a_plain_left_join(spark, monkeypatch):
+    """Copies, different predictions, null predictions, null ids and ids without a tweet; every limit is small."""
+    monkeypatch.setattr("chirrup.operators.bronze.COPIES_PER_RUN", 5)
+    rows_of = lambda k: [(k, ["positive", "negative", None, str(j)][j % 4]) for j in range(40)]
+    predictions = [*rows_of(1), *rows_of(2), *rows_of(77), *[(None, "x")] * 50, *[(3, "positive")] * 60, (5, "a"), (6, None)]
+    values = [(k % 8 or None, 1, k, "t", k) for k in range(64)] + [(1, 1, 0, "same", 0)] * 9
+    tweets, predictions = spark.createDataFrame(values, TWEET), spark.createDataFrame(predictions, PREDICTION)
+    assert rows(bronze(tweets, predictions)) == rows(tweets.join(predictions, on="id", how="left"))
+    compat = rows(bronze(tweets, predictions, compat=True))
+    assert compat == rows(tweets.join(predictions, on="id", how="left").withColumn("ml_sentiment", F.col("label").cast("string")))
+
+
+def test_hot_ids_are_found_among_many_others(spark):
+    """The sketch of many tasks holds each id above the limit, whatever else there is."""
+    from chirrup.operators.bronze import _grid
+
+    predictions = spark.range(0, 2_000_000, 1, 40).selectExpr("if(id % 20 < 5, id % 20 - 2, id) AS id", "'p' AS ml_sentiment")
+    ids, cells = _grid(tweets_df(spark), predictions)
+    assert sorted(ids) == [-2, -1, 0, 1, 2]
+    assert {row["id"] for row in cells.collect()} == set(ids)
+    assert _grid(tweets_df(spark), predictions.filter("id > 100")) is None
+
+
 @pytest.fixture
 def small_skew_limits(spark):
     limits = {

@@ -61,11 +61,13 @@ def test_a_filter_on_the_category_tokenises_once(spark, stored):
     assert text.count("regexp_extract_all") == 1
 
 
-def test_bronze_combines_predictions_before_their_shuffle_only_if_one_is_hot(stored, monkeypatch):
-    assert "partial_count" not in plan(bronze(stored["tweets"], stored["predictions"]))
+def test_bronze_deals_predictions_over_cells_only_if_an_id_is_hot(stored, monkeypatch):
+    plain = plan(bronze(stored["tweets"], stored["predictions"]))
+    assert "partial_count" not in plain and "Generate" not in plain
     monkeypatch.setattr("chirrup.operators.bronze.COPIES_PER_RUN", 1)
-    assert "partial_count" in plan(bronze(stored["tweets"], stored["predictions"]))
-    assert "partial_count" not in plan(bronze(stored["tweets"], stored["predictions"], hot_predictions=False))
+    dealt = plan(bronze(stored["tweets"], stored["predictions"]))
+    assert "partial_count" in dealt and "REPARTITION_BY_NUM" in dealt
+    assert plan(bronze(stored["tweets"], stored["predictions"], hot_predictions=False)).count("Generate") == 0
 
 
 PLAIN_QUERIES = [
