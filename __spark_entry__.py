@@ -30,7 +30,7 @@ from chirrup.schemas import NEGATIVE_WORDS, POSITIVE_WORDS, STARTER_DEGREES, STA
 from chirrup.sources.lexicon import starter_lexicon
 from chirrup.sources.records import export_csv, read_csv, read_predictions, read_tweets, write_predictions
 from chirrup.sources.tables import shared_folder
-from chirrup.streaming.replay import replay
+from chirrup.streaming.replay import replay, replay_in_order
 
 try:
     from chirrup.llm import queries as llm
@@ -201,6 +201,48 @@ def _replay_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(keyed).json(f"{folder}/stream")
 
 
+def _drained(query) -> None:
+    query.processAllAvailable()
+    query.stop()
+
+
+def _one_file(spark: SparkSession, sf_dir: str, lines: Column) -> str:
+    """A folder with one file of lines, in the order of the tweets' ids."""
+    path = f"{shared_folder(spark)}/raw"
+    _tweets(spark, sf_dir).repartition(1).sortWithinPartitions("id").select(lines.alias("value")).write.text(path)
+    return path
+
+
+def _replay_paced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file in eight batches of records, each of which goes on where the last one ended, and what is left."""
+    folder = shared_folder(spark)
+    raw = _one_file(spark, sf_dir, F.to_json(F.struct("id")))
+    pace = _table(spark, sf_dir, "events").count() // 8
+    query = replay(spark, raw, f"{folder}/stream", f"{folder}/checkpoint", records_per_trigger=pace, rejects=f"{folder}/rejects")
+    _drained(query)
+    return spark.read.schema("id long, key string, batch int").json(f"{folder}/stream").select("id", "batch")
+
+
+def _replay_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The numbers of the records by their user, over four batches; records without a user are dealt over lanes."""
+    folder = shared_folder(spark)
+    raw = _one_file(spark, sf_dir, F.to_json(F.struct("id", F.col("user_id").alias("Date"))))
+    pace = _table(spark, sf_dir, "events").count() // 4 + 1
+    _drained(replay_in_order(spark, raw, f"{folder}/stream", f"{folder}/checkpoint", pace, hot_keys=()))
+    return spark.read.schema("id long, key string, lane int, sequence long").json(f"{folder}/stream")
+
+
+def _replay_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third record is cut off and every fifth line has two: both go aside, with the reason."""
+    folder = shared_folder(spark)
+    record = F.to_json(F.struct("id"))
+    line = F.when(F.expr("id % 3 = 0"), F.left(record, F.length(record) - 1)).when(F.expr("id % 5 = 0"), F.concat(record, F.lit(","), record))
+    raw = _one_file(spark, sf_dir, line.otherwise(record))
+    replay(spark, raw, f"{folder}/stream", f"{folder}/checkpoint", rejects=f"{folder}/rejects").awaitTermination()
+    sent = spark.read.schema("id long").json(f"{folder}/stream").select(F.col("id").cast("string").alias("value"), F.lit(None).cast("string").alias("reason"))
+    return sent.unionAll(spark.read.schema("value string, reason string").json(f"{folder}/rejects").select("value", "reason"))
+
+
 def _pipeline_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark)
     database = folder.rsplit("/", 1)[1].replace("-", "_")
@@ -273,6 +315,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "prediction_file": _prediction_file,
         "prediction_array": _prediction_array,
         "replay_ingest": _replay_ingest,
+        "replay_paced": _replay_paced,
+        "replay_in_order": _replay_in_order,
+        "replay_rejects": _replay_rejects,
         "pipeline_run": _pipeline_run,
         "csv_export": _csv_export,
     }
@@ -473,6 +518,17 @@ SELECT id, term, round(weight / sqrt(sum(weight * weight) OVER (PARTITION BY id)
         f"WITH {_TWEETS}\nSELECT *, CASE label WHEN 1 THEN strftime(make_timestamp(timestamp * 1000), '%Y-%m-%d') "
         "WHEN 0 THEN '' ELSE 'default' END AS key FROM tweets"
     )
+    sql["replay_paced"] = (
+        "SELECT event_id AS id, ((row_number() OVER (ORDER BY event_id) - 1) // ((SELECT count(*) FROM events) // 8))::INTEGER AS batch "
+        "FROM events"
+    )
+    sql["replay_in_order"] = f"""WITH {_TWEETS}
+SELECT id, coalesce(user_id::VARCHAR, 'default') AS key, 0 AS lane, row_number() OVER (PARTITION BY user_id ORDER BY id) - 1 AS sequence
+FROM tweets"""
+    record = "'{\"id\":' || event_id"
+    sql["replay_rejects"] = f"""SELECT CASE WHEN event_id % 3 = 0 THEN {record} WHEN event_id % 5 = 0 THEN {record} || '}},' || {record} || '}}'
+            ELSE event_id::VARCHAR END AS value,
+       CASE WHEN event_id % 3 = 0 THEN 'no JSON' WHEN event_id % 5 = 0 THEN 'not one record' END AS reason FROM events"""
     sums = "\nUNION ALL\n".join(
         f"SELECT '{name}' AS table_name, count(*) AS row_count, {_checksum_sql(name)} FROM ({query})"
         for name, query in _TABLE_SQL.items()

@@ -1,11 +1,15 @@
 import json
+import os
+import shutil
+from collections import defaultdict
 
 import pytest
 from pyspark.errors import StreamingQueryException
 
 from chirrup.operators.bronze import bronze
 from chirrup.sources.records import read_tweets
-from chirrup.streaming.replay import keyed_records, replay
+from chirrup.streaming.paced import PacedReader
+from chirrup.streaming.replay import keyed_records, replay, replay_in_order
 from tests.fixture import TWEETS, bronze_df, predictions_df, rows, tweets_df
 from tests.test_records import KEYS, lines
 
@@ -111,3 +115,133 @@ def test_keyed_records_of_a_batch(spark):
     assert rows(keyed_records(df)) == [
         ("5", '{"Date": 5}'), ("default", '{"a": null}'), ("x", '{"Date": "x", "a": 1}')
     ]
+
+
+def write_records(folder, name, ids, time=None, **extra):
+    folder.mkdir(exist_ok=True)
+    path = folder / name
+    path.write_text("".join(json.dumps({"id": i, **{k: f(i) for k, f in extra.items()}}) + ("\n  \n" if i % 7 == 0 else "\n") for i in ids))
+    if time:
+        os.utime(path, (time, time))
+
+
+def drained(query):
+    query.processAllAvailable()
+    progress = [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
+    query.stop()
+    return progress
+
+
+def ids_of(spark, path):
+    return sorted(row.id for row in spark.read.schema("id long").json(str(path)).collect())
+
+
+def test_records_per_trigger_split_one_file(spark, tmp_path):
+    write_records(tmp_path / "in", "all.json", range(10_000))
+    paths = [str(tmp_path / name) for name in ("in", "out", "checkpoint")]
+    assert drained(replay(spark, *paths, records_per_trigger=1000)) == [1000] * 10
+    assert ids_of(spark, tmp_path / "out") == list(range(10_000))
+
+
+def test_a_restart_within_a_file_loses_and_repeats_nothing(spark, tmp_path):
+    write_records(tmp_path / "in", "b.json", range(2500), time=1000)
+    write_records(tmp_path / "in", "_hidden.json", range(5), time=1000)
+    paths = [str(tmp_path / name) for name in ("in", "out", "checkpoint")]
+    assert drained(replay(spark, *paths, records_per_trigger=1000)) == [1000, 1000, 500]
+    assert drained(replay(spark, *paths, records_per_trigger=1000)) == []
+    # A file that sorts before by name but is newer, and more than a batch of them.
+    for k in range(4):
+        write_records(tmp_path / "in", f"a{k}.json", range(2500 + 400 * k, 2900 + 400 * k), time=2000 + k)
+    query = replay(spark, *paths, records_per_trigger=300)
+    while not any(p["numInputRows"] for p in query.recentProgress):
+        pass
+    query.stop()  # wherever it is
+    drained(replay(spark, *paths, records_per_trigger=700))
+    assert ids_of(spark, tmp_path / "out") == list(range(4100))
+
+
+def test_a_batch_that_was_not_committed_is_done_again_alike(spark, tmp_path):
+    write_records(tmp_path / "in", "all.json", range(900))
+    paths = [str(tmp_path / name) for name in ("in", "out", "checkpoint")]
+    assert drained(replay(spark, *paths, records_per_trigger=300)) == [300] * 3
+    (tmp_path / "checkpoint" / "commits" / "2").unlink()
+    (tmp_path / "checkpoint" / "commits" / ".2.crc").unlink(missing_ok=True)
+    drained(replay(spark, *paths, records_per_trigger=300))
+    assert ids_of(spark, tmp_path / "out") == list(range(900))
+
+
+@pytest.mark.parametrize("content", ["", "\n\n", "a", "a\n", "a\r\nb\r\n\r\nc", "\n\na\n \n" * 5, "\u00e9\u6f22\n" * 9])
+@pytest.mark.parametrize("records, per_task", [(1, 1), (2, 3), (100, 2), (100, 100)])
+def test_offsets_cover_each_line_once(tmp_path, content, records, per_task):
+    (tmp_path / "x").write_text(content, newline="")
+    (tmp_path / "y").write_text(content, newline="")
+    want = [line.strip("\r") for line in (content + "\n" + content).split("\n") if line.strip()]
+    reader, got, start = PacedReader(str(tmp_path), records, per_task), [], None
+    while True:
+        begin = start or reader.initialOffset()
+        start = reader.latestOffset()
+        # Another reader, as after a restart, plans the same batch.
+        again = PacedReader(str(tmp_path), records, per_task).partitions(begin, start)
+        batch = [value for part in reader.partitions(begin, start) for rows in reader.read(part) for value in rows.column(0).to_pylist()]
+        assert batch == [value for part in again for rows in reader.read(part) for value in rows.column(0).to_pylist()]
+        assert len(batch) <= records
+        if start == begin:
+            break
+        got += batch
+    assert got == want
+
+
+def test_sequences_follow_the_input_over_batches_and_restarts(spark, tmp_path):
+    """Keys have numbers without a gap; the key that most records share is dealt over lanes."""
+    day = lambda i: f"day{i % 3}" if i % 4 == 0 else None
+    paths = [str(tmp_path / name) for name in ("in", "out", "checkpoint")]
+    options = {"records_per_trigger": 700, "lanes": 4}
+    write_records(tmp_path / "in", "z.json", range(2000), time=1000, Date=day)
+    drained(replay_in_order(spark, *paths, **options))
+    write_records(tmp_path / "in", "a.json", range(2000, 3000), time=2000, Date=day)
+    drained(replay_in_order(spark, *paths, **options))
+    rows = spark.read.schema("id long, key string, lane int, sequence long").json(paths[1]).collect()
+    assert sorted(row.id for row in rows) == list(range(3000))
+    found = defaultdict(list)
+    for row in rows:
+        assert row.key == (day(row.id) or "default")
+        found[row.key, row.lane].append((row.sequence, row.id))
+    assert set(found) == {("day0", 0), ("day1", 0), ("day2", 0), *(("default", lane) for lane in range(4))}
+    for own in found.values():
+        assert [sequence for sequence, _ in sorted(own)] == list(range(len(own)))
+        assert [i for _, i in sorted(own)] == sorted(i for _, i in own)
+    sizes = [len(own) for (key, _), own in found.items() if key == "default"]
+    assert max(sizes) < 1.5 * min(sizes)
+
+
+BAD = {
+    '{"id": 5, "tweet":': "no JSON", "{'id': 5}": "no JSON", "no record": "no JSON", '{"id": 5} and more': "no JSON", "null": "not one record",
+    "[5]": "no JSON", '{"id": 5}, {"id": 6}': "not one record", '{"id": 5}]': "not one record", "],[": "not one record",
+}
+
+
+@pytest.mark.parametrize("options", [{}, {"records_per_trigger": 4}, {"max_files_per_trigger": 1}])
+def test_bad_lines_go_aside(spark, source, options):
+    (source / "in" / "bad.json").write_text("\n".join(BAD) + '\n{"id": 77, "Date": "d"}\n')
+    paths = [str(source / name) for name in ("in", "out", "checkpoint")]
+
+    def send_all():
+        query = replay(spark, *paths, rejects=str(source / "rejects"), **options)
+        drained(query) if "records_per_trigger" in options else query.awaitTermination()
+
+    def check():
+        sent = spark.read.schema("id long, key string").json(paths[1]).select("id", "key").collect()
+        assert len(sent) == len(TWEETS) + 1 and ("d" in {row.key for row in sent})
+        rejects = spark.read.json(str(source / "rejects")).select("value", "file", "reason").collect()
+        assert {row.value: row.reason for row in rejects} == BAD and len(rejects) == len(BAD)
+        assert all(row.file.endswith("bad.json") for row in rejects)
+
+    send_all()
+    check()
+    # The last batch is done again, as after a crash between its writes and its commit.
+    last = max((source / "checkpoint" / "commits").glob("[0-9]*"), key=lambda path: int(path.name))
+    last.unlink()
+    shutil.rmtree(source / "rejects" / f"batch={last.name}")
+    send_all()
+    check()
+    assert len(read_tweets(spark, paths[1]).columns) == len(KEYS)
