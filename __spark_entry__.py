@@ -166,6 +166,15 @@ def _ml_optimality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slopes.withColumn("one", F.lit(1)).join(bound, "one").select("term", F.expr("abs(slope) < bound").alias("optimal"))
 
 
+# Texts whose words tell which side they are on; one of five has no label.
+SIDES = """SELECT event_id AS id, CASE WHEN event_id % 5 > 0 THEN event_id % 2 END AS label,
+  CASE event_id % 2 WHEN 1 THEN 'bright sunny day, ' ELSE 'gloomy rainy night, ' END || event_type || ' ' || event_id AS tweet FROM {0}"""
+
+
+def _sides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(SIDES.format("{events}"), events=_table(spark, sf_dir, "events"))
+
+
 def _tfidf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     weights = predictions.term_weights(_tweets(spark, sf_dir))
     return weights.withColumn("weight", F.round("weight", 6))
@@ -269,6 +278,19 @@ def _csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, "word string, freq long")
 
 
+def _trend_by_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With the place at which each row is read."""
+    ordered = trends.by_time(trends.hourly_sentiment_trend(_silver(spark, sf_dir)))
+    return ordered.coalesce(1).withColumn("place", F.monotonically_increasing_id())
+
+
+def _anomaly_log_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log that is stamped with the time of the run: one time, which is that of the query."""
+    log = anomalies.anomaly_log(_silver(spark, sf_dir))
+    same = F.bool_and(F.col("log_time") == F.current_timestamp())
+    return log.agg(F.count("*").alias("rows"), F.count_distinct("log_time").alias("times"), same.alias("of_the_run"))
+
+
 def _top_neutral_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return words.ranked(words.neutral_word_frequency(_silver(spark, sf_dir)), "freq", "word", k=100)
 
@@ -284,10 +306,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "tweet_data_compat": lambda spark, sf_dir: _bronze(spark, sf_dir, compat=True),
         "tweet_data_hot": _hot_bronze,
         "ml_predictions": lambda spark, sf_dir: predictions.fit_predict(_tweets(spark, sf_dir)),
+        "ml_predictions_of_sides": lambda spark, sf_dir: predictions.fit_predict(_sides(spark, sf_dir)),
+        "ml_predictions_out_of_fold": lambda spark, sf_dir: predictions.out_of_fold(_sides(spark, sf_dir)),
         "ml_optimality": _ml_optimality,
         "tfidf_vocabulary": lambda spark, sf_dir: predictions.vocabulary(_tweets(spark, sf_dir)).withColumn(
             "idf", F.round("idf", 6)
         ),
+        "tfidf_vocabulary_by_sketch": lambda spark, sf_dir: predictions.vocabulary(
+            _tweets(spark, sf_dir), sketch=True
+        ).withColumn("idf", F.round("idf", 6)),
         "tfidf_weights": _tfidf_weights,
         "polarity_score": _polarity_score,
         "polarity_score_by_join": _polarity_score_by_join,
@@ -297,6 +324,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "polarity_score_degrees_by_join": lambda spark, sf_dir: _degree_score(spark, sf_dir, max_broadcast_words=0),
         "valid_tweets": _silver,
         "hourly_sentiment_trend": _on_silver(trends.hourly_sentiment_trend),
+        "hourly_sentiment_trend_by_time": _trend_by_time,
+        "anomaly_log_time": _anomaly_log_time,
         "discrepant_tweets": _on_silver(anomalies.discrepant_tweets),
         "negative_word_frequency": _on_silver(words.negative_word_frequency),
         "positive_word_frequency": _on_silver(words.positive_word_frequency),
@@ -499,7 +528,12 @@ def oracle_sql() -> dict[str, str]:
         _LEXICON_ROWS, _lexicon_rows(FINE_LEXICON)
     )
     sql["polarity_score_degrees"] = sql["polarity_score_degrees_by_join"] = sql["polarity_score"].replace(_SCORES, _DEGREE_SCORES)
-    sql["tfidf_vocabulary"] = (
+    side = "CASE id % 2 WHEN 1 THEN 'positive' ELSE 'negative' END AS ml_sentiment"
+    sql["ml_predictions_of_sides"] = f"SELECT id, {side} FROM ({SIDES.format('events')})"
+    sql["ml_predictions_out_of_fold"] = (
+        f"SELECT id, (('0x' || substr(md5(lower(tweet)), 1, 8))::BIGINT % 5)::INTEGER AS fold, {side} FROM ({SIDES.format('events')})"
+    )
+    sql["tfidf_vocabulary"] = sql["tfidf_vocabulary_by_sketch"] = (
         f"WITH {_TWEETS},\n{_TERMS}\nSELECT term, term_count, doc_count, round(idf, 6) AS idf FROM vocabulary"
     )
     labelled = _TERMS.replace("tweet IS NOT NULL", "tweet IS NOT NULL AND label IS NOT NULL", 1)
@@ -533,6 +567,10 @@ FROM tweets"""
         f"SELECT '{name}' AS table_name, count(*) AS row_count, {_checksum_sql(name)} FROM ({query})"
         for name, query in _TABLE_SQL.items()
     )
+    sql["hourly_sentiment_trend_by_time"] = (
+        f"WITH {_SILVER_CTES}\nSELECT *, row_number() OVER (ORDER BY hour, sentiment_label) - 1 AS place FROM ({_HOURLY})"
+    )
+    sql["anomaly_log_time"] = f"WITH {_SILVER_CTES}\nSELECT count(*) AS rows, 1 AS times, true AS of_the_run FROM silver WHERE discrepancy"
     sql["pipeline_run"] = f"WITH {_SILVER_CTES}\n{sums}"
     sql["csv_export"] = f"WITH {_SILVER_CTES}\n{_NEUTRAL}"
     sql["top_neutral_words"] = f"WITH {_SILVER_CTES}\n{_NEUTRAL} ORDER BY freq DESC, word LIMIT 100"

@@ -4,7 +4,6 @@ Polarities count in whole millionths, whose sums are exact in any order, and eac
 So the ways to score, picked by the size and the columns of the lexicon, give the same numbers.
 """
 
-import json
 from collections import defaultdict
 from collections.abc import Callable
 from typing import NamedTuple
@@ -14,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType
 
+from chirrup.functions.constants import constant
 from chirrup.functions.text import letter_tokens, word_counts
 
 # Above this size (a few MB) the lexicon is joined instead of being sent to every executor.
@@ -107,7 +107,7 @@ def _score_by_vocabulary(
     """
     counter = CountVectorizerModel.from_vocabulary(words, inputCol="_tokens", outputCol="_hits")
     counted = counter.transform(df.withColumn("_tokens", letter_tokens(F.col(text_col))))
-    table = _literal(polarities, "array<double>")
+    table = constant(polarities, "array<double>")
 
     def mean(vector: Column) -> Column:
         parts = F.zip_with(
@@ -125,11 +125,6 @@ def _score_by_vocabulary(
     return counted.withColumn(score_col, score).drop("_tokens", "_hits")
 
 
-def _literal(value: object, kind: str) -> Column:
-    """A nested constant, which Spark folds once when it plans."""
-    return F.from_json(F.lit(json.dumps(value)), F.lit(kind))
-
-
 def _looked_up(tokens: Column, words: dict[str, Word]) -> Column:
     """The known tokens in order, as `(pos, polarity, degree)`.
 
@@ -139,7 +134,7 @@ def _looked_up(tokens: Column, words: dict[str, Word]) -> Column:
     buckets: list[dict] = [{} for _ in range(n)]
     for word, known in words.items():
         buckets[known.hash % n][word] = {"polarity": known.polarity, "degree": known.degree}
-    table = _literal(buckets, "array<map<string, struct<polarity: bigint, degree: bigint>>>")
+    table = constant(buckets, "array<map<string, struct<polarity: bigint, degree: bigint>>>")
     place = lambda word: F.pmod(F.xxhash64(word), F.lit(n)).cast("int")
     found = F.transform(
         tokens, lambda word, i: F.struct(i.alias("pos"), F.try_element_at(F.get(table, place(word)), word).alias("known"))
@@ -189,7 +184,7 @@ def _sieve(entries: DataFrame) -> Callable[[Column], Column]:
     table = [0] * (n // 64)
     for row in bits.collect():
         table[row["at"]] = row["bits"]
-    literal = _literal(table, "array<bigint>")
+    literal = constant(table, "array<bigint>")
 
     def passes(word: Column) -> Column:
         place = F.pmod(F.xxhash64(word), F.lit(n))

@@ -19,6 +19,11 @@ def hourly_sentiment_trend(silver: DataFrame) -> DataFrame:
     return counts.withColumn("percentage", F.col("tweet_count") / hour_total * 100)
 
 
+def by_time(trend: DataFrame) -> DataFrame:
+    """The stored trend in the order of hours, and of label texts within an hour."""
+    return trend.orderBy("hour", "sentiment_label")
+
+
 def ml_sentiment_accuracy(silver: DataFrame) -> DataFrame:
     """Correct predictions per day; unlabelled tweets count in the total only."""
     correct = (predicted_label(F.col("ml_sentiment")) == F.col("label")).cast("int")

@@ -2,7 +2,8 @@ import pytest
 
 from chirrup.operators import words
 from chirrup.operators.predictions import fit_predict
-from chirrup.plans.pipeline import GOLD, run
+from chirrup.plans import pipeline
+from chirrup.plans.pipeline import GOLD, fingerprint, run
 from chirrup.schemas import TABLE_COMMENTS
 from chirrup.sources.tables import shared_folder
 from tests.fixture import bronze_df, lexicon_df, predictions_df, rows, silver_df, tweets_df
@@ -44,7 +45,9 @@ def test_a_rerun_replaces_the_tables(spark, tmp_path):
 def test_no_intermediate_data_is_left(spark, tmp_path, monkeypatch):
     monkeypatch.setattr("chirrup.sources.tables.shared_folder", lambda spark: f"{tmp_path}/shared/one")
     run(spark, tweets_df(spark), predictions_df(spark), lexicon_df(spark), f"{tmp_path}/out", database="tidy_test")
-    assert list((tmp_path / "shared").iterdir()) == []
+    assert not (tmp_path / "shared").exists()
+    [folder] = (tmp_path / "out" / "runs").iterdir()
+    assert {path.name for path in folder.iterdir()} == set(TABLE_COMMENTS)
     assert fit_predict(tweets_df(spark)).count() == tweets_df(spark).filter("tweet IS NOT NULL").count()
     assert list((tmp_path / "shared").iterdir()) == []
 
@@ -53,3 +56,81 @@ def test_shared_folder_follows_the_session(spark, monkeypatch):
     assert shared_folder(spark) != shared_folder(spark)
     monkeypatch.setattr(type(spark.conf), "get", lambda self, key, default=None: "hdfs://shared/spark/")
     assert shared_folder(spark).startswith("hdfs://shared/spark/chirrup-")
+
+
+class Stopped(Exception):
+    pass
+
+
+def inputs(spark, folder):
+    """The inputs as files, of which a second run has the same plan."""
+    paths = [f"{folder}/{name}" for name in ("tweets", "predictions", "lexicon")]
+    for path, df in zip(paths, (tweets_df(spark), predictions_df(spark), lexicon_df(spark))):
+        df.write.mode("ignore").parquet(path)
+    return lambda: [spark.read.parquet(path) for path in paths]
+
+
+def test_a_run_that_is_stopped_in_gold_leaves_the_old_tables_and_is_taken_up_again(spark, tmp_path, monkeypatch):
+    read, out = inputs(spark, tmp_path), str(tmp_path / "out")
+    run(spark, *read(), out, database="resumed_test")
+    old = {name: rows(spark.table(f"resumed_test.{name}")) for name in TABLE_COMMENTS}
+    whole, written = pipeline.write_once, []
+
+    def stops(df, path):
+        if path.endswith(("ml_vs_label_comparison", "neutral_word_frequency")):
+            raise Stopped
+        return whole(df, path)
+
+    monkeypatch.setattr(pipeline, "write_once", stops)
+    with pytest.raises(Stopped):
+        run(spark, *read(), out, database="resumed_test", compat=True)
+    assert {name: rows(spark.table(f"resumed_test.{name}")) for name in TABLE_COMMENTS} == old
+    assert len(list((tmp_path / "out" / "runs").iterdir())) == 2
+
+    def counts(df, path):
+        if not pipeline.exists(spark, f"{path}/_SUCCESS"):
+            written.append(path.rsplit("/", 1)[1])
+        return whole(df, path)
+
+    monkeypatch.setattr(pipeline, "write_once", counts)
+    tables = run(spark, *read(), out, database="resumed_test", compat=True)
+    assert sorted(written) == ["ml_vs_label_comparison", "neutral_word_frequency"]
+    assert rows(tables["tweet_data"]) == rows(bronze_df(spark, compat=True)) != old["tweet_data"]
+    for name in TABLE_COMMENTS:
+        if name in GOLD:
+            assert rows(spark.table(f"resumed_test.{name}")) == rows(GOLD[name](silver_df(spark, compat=True)))
+
+
+def test_a_write_that_was_stopped_is_done_again(spark, tmp_path):
+    read, out = inputs(spark, tmp_path), str(tmp_path / "out")
+    run(spark, *read(), out, database="halves_test", run_id="one")
+    half = tmp_path / "out" / "runs" / "two" / "tweet_data"
+    half.mkdir(parents=True)
+    (half / "part-00000.parquet").write_text("half a file")
+    tables = run(spark, *read(), out, database="halves_test", run_id="two")
+    assert rows(tables["tweet_data"]) == rows(bronze_df(spark))
+
+
+def test_the_last_run_is_kept_for_its_readers_and_older_ones_go(spark, tmp_path):
+    read, out = inputs(spark, tmp_path), str(tmp_path / "out")
+    first = run(spark, *read(), out, database="kept_test", run_id="a")["tweet_data"]
+    reader = spark.read.parquet(f"{out}/runs/a/tweet_data")
+    run(spark, *read(), out, database="kept_test", run_id="b")
+    assert rows(reader) == rows(first)
+    run(spark, *read(), out, database="kept_test", run_id="b")  # what is shown is begun anew, beside it
+    assert {path.name for path in (tmp_path / "out" / "runs").iterdir()} == {"b", "b~1"}
+    run(spark, *read(), out, database="kept_test", run_id="b")
+    assert {path.name for path in (tmp_path / "out" / "runs").iterdir()} == {"b~1", "b~2"}
+    assert {path.name for path in (tmp_path / "out" / "runs" / "b~2").iterdir()} == set(TABLE_COMMENTS)
+    assert rows(spark.table("kept_test.tweet_data")) == rows(bronze_df(spark))
+
+
+def test_the_fingerprint_tells_inputs_and_parameters_apart(spark, tmp_path):
+    read = inputs(spark, tmp_path)
+    one = fingerprint(*read(), False, None)
+    assert one == fingerprint(*read(), False, None)
+    tweets, predictions, lexicon = read()
+    others = [fingerprint(*read(), True, None), fingerprint(tweets.filter("id > 2"), predictions, lexicon, False, None)]
+    lexicon_df(spark).write.mode("append").parquet(str(tmp_path / "lexicon"))
+    others.append(fingerprint(*read(), False, None))
+    assert len({one, *others}) == 4

@@ -7,7 +7,8 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from chirrup.operators.bronze import bronze
-from chirrup.operators.predictions import fit, fit_predict, predict, term_weights, tfidf, vocabulary
+from chirrup.operators import predictions
+from chirrup.operators.predictions import fit, fit_predict, fold_of, out_of_fold, predict, term_weights, tfidf, vocabulary
 from chirrup.schemas import TWEET
 from tests.fixture import rows, tweets_df
 
@@ -126,3 +127,92 @@ def test_the_regression_equals_a_direct_solution(spark):
     clear = [i for i, margin in enumerate(margins) if abs(margin) > 1e-3]
     assert len(clear) > 290
     assert all((chosen[i] == "positive") == (margins[i] > 0) for i in clear)
+
+
+def test_each_text_is_predicted_by_a_model_that_has_not_seen_it(spark):
+    """Every text has its own word, so a model that has seen it knows its label, and one that has not only the prior."""
+    data = [(i, i % 2, i, f"own{i} own{i}", i) for i in range(60)]
+    tweets = spark.createDataFrame(data, TWEET)
+    seen = fit_predict(tweets).join(tweets, "id").filter("(label = 1) = (ml_sentiment = 'positive')").count()
+    assert seen == 60
+    got = out_of_fold(tweets, folds=4).join(tweets, "id")
+    folds = {}
+    for row in got.collect():
+        folds.setdefault(row.fold, set()).add(row.ml_sentiment)
+    assert set(folds) == {0, 1, 2, 3}
+    assert all(len(answers) == 1 for answers in folds.values())  # no fold tells its own texts apart
+
+
+def test_out_of_fold_covers_each_text_once_and_finds_what_is_common(spark):
+    more = [(900, None, 0, "a GREAT sunny day", 1), (901, None, 0, "rainy, awful", 1), (902, 1, 0, None, 1), (903, None, 0, "", 1)]
+    words = ["great", "sunny", "happy", "day", "walk"], ["awful", "rainy", "sad", "news", "walk"]
+    rng = random.Random(2)
+    texts = [(i, 1 - i % 2, i, " ".join(rng.choices(words[i % 2], k=6)) + f" {i}", i) for i in range(200)]
+    tweets = spark.createDataFrame(texts + [(500 + i, *texts[i][1:]) for i in range(9)] + more, TWEET)
+    got = {row.id: row for row in out_of_fold(tweets, folds=3).collect()}
+    assert set(got) == {row.id for row in tweets.filter("tweet IS NOT NULL").collect()}
+    want = {row.id: row.fold for row in tweets.select("id", fold_of(F.col("tweet"), 3).alias("fold")).collect()}
+    assert all(row.fold == want[i] for i, row in got.items())
+    assert all(got[500 + i].fold == got[i].fold for i in range(9))
+    right = [(got[i].ml_sentiment == "positive") == (label == 1) for i, label, *_ in texts]
+    assert sum(right) >= 195
+    assert (got[900].ml_sentiment, got[901].ml_sentiment) == ("positive", "negative")
+
+
+def test_out_of_fold_equals_models_fitted_one_by_one(spark):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(40)]
+    tweets = spark.createDataFrame([(i, rng.randint(0, 1), 0, " ".join(rng.choices(words, k=8)), 1) for i in range(300)], TWEET)
+    got = {row.id: (row.fold, row.ml_sentiment) for row in out_of_fold(tweets, folds=2).collect()}
+    terms = [row.term for row in vocabulary(tweets).collect()]
+    features, labels = np.zeros((300, len(terms))), np.array([row.label for row in tweets.orderBy("id").collect()])
+    for row in term_weights(tweets).collect():
+        features[row.id, terms.index(row.term)] = row.weight
+    fold = np.array([got[i][0] for i in range(300)])
+    for k in (0, 1):
+        weights, intercept = newton(features[fold != k], labels[fold != k])
+        margins = features @ weights + intercept
+        clear = [i for i in np.flatnonzero(fold == k).tolist() if abs(margins[i]) > 1e-3]
+        assert len(clear) > 100
+        assert all((got[i][1] == "positive") == (margins[i] > 0) for i in clear)
+
+
+def test_folds_need_labelled_tweets_outside(spark):
+    tweets = spark.createDataFrame([(1, 1, 0, "only one text", 1), (2, 1, 0, "only one text", 1)], TWEET)
+    with pytest.raises(ValueError, match="no labelled tweet outside"):
+        out_of_fold(tweets)
+    with pytest.raises(ValueError, match="two folds"):
+        out_of_fold(toy(spark), folds=1)
+
+
+def vocabularies(tweets, size):
+    return rows(vocabulary(tweets, size)), rows(vocabulary(tweets, size, sketch=True))
+
+
+def test_a_sketch_gives_the_same_vocabulary(spark, monkeypatch):
+    """Few terms, null and empty texts, ties at the cut, and many words that come once."""
+    texts = ["One one two", "two x naïve ça", "two_2 22 -- two", None, ""]
+    tweets = spark.createDataFrame([(i, 1, 0, text, 1) for i, text in enumerate(texts)], TWEET)
+    for size in (1, 2, 4, 1000):
+        plain, sketched = vocabularies(tweets, size)
+        assert plain == sketched
+    junk = spark.range(0, 30_000, 1, 8).selectExpr(
+        "id", "1L AS label", "0L AS timestamp", "id AS user_id",
+        "concat('the of ', repeat(concat('w', id % 50, ' '), 3), 'u', id % 10, ' junk', id, ' junk', -id) AS tweet",
+    )
+    calls = []
+    monkeypatch.setattr(predictions, "TRACKED_TERMS", 4096)
+    whole = predictions._weighted_terms
+    monkeypatch.setattr(predictions, "_weighted_terms", lambda *args: calls.append(args) or whole(*args))
+    plain, sketched = vocabularies(junk, 40)
+    assert plain == sketched and len(calls) == 1  # the sketch was proof enough
+    calls.clear()
+    plain, sketched = vocabularies(junk, 5000)
+    assert plain == sketched and len(calls) == 2  # it was not: the last terms come once
+
+
+def test_a_sketch_shuffles_sketches_and_not_terms(spark):
+    """However many distinct terms there are, what meets is one sketch for each group of tasks, and counts by number."""
+    assert fit(toy(spark), sketch=True).stages[1].vocabulary == fit(toy(spark)).stages[1].vocabulary
+    assert predictions._sketched_terms(tweets_df(spark).limit(0), 10) is None
+    assert vocabulary(tweets_df(spark).limit(0), sketch=True).count() == 0
