@@ -16,6 +16,17 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_alone(df: DataFrame) -> DataFrame:
+    """As `stored`; the shuffle files of the jobs up to here are given up.
+
+    Spark deletes the files of a shuffle when the driver's JVM collects its plan. That may be long after the last use, and
+    a job of many steps would fill the disks meanwhile, so the JVM is asked to collect here.
+    """
+    out = stored(df)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return out
+
+
 def tasks(df: DataFrame) -> int:
     """The session's number of shuffle partitions."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

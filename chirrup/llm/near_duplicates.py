@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chirrup.llm.common import stored, tasks, text_key, text_or_empty
+from chirrup.llm.common import stored_alone, tasks, text_key, text_or_empty
 from chirrup.llm.pretokens import chunks, text_buffers
 from chirrup.llm.words import LOWER, grams, hashed_words, mixed, within, word_spans
 
@@ -223,11 +223,11 @@ def contracted(edges: DataFrame, labels: DataFrame) -> DataFrame:
     Every component with a smaller neighbour takes its smallest one's name, until no edge is left; only local minima
     outlive a round.
     """
-    ordered = lambda df: stored(df.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    ordered = lambda df: stored_alone(df.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     edges = ordered(edges)
     while not edges.isEmpty():
-        parents = stored(edges.groupBy(F.col("b").alias("old")).agg(F.min("a").alias("new")))
-        labels = stored(labels.join(parents, labels["component"] == parents["old"], "left").select("node", F.coalesce("new", "component").alias("component")))
+        parents = stored_alone(edges.groupBy(F.col("b").alias("old")).agg(F.min("a").alias("new")))
+        labels = stored_alone(labels.join(parents, labels["component"] == parents["old"], "left").select("node", F.coalesce("new", "component").alias("component")))
         for end in ("a", "b"):
             edges = edges.join(parents, F.col(end) == F.col("old"), "left").withColumn(end, F.coalesce("new", end)).select("a", "b")
         edges = ordered(edges)
@@ -238,7 +238,7 @@ def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """`a, b, linked`."""
     one = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     two = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    return stored(pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b").mapInArrow(_verified, "a long, b long, linked boolean"))
+    return stored_alone(pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b").mapInArrow(_verified, "a long, b long, linked boolean"))
 
 
 def _merged(checked: DataFrame, labels: DataFrame) -> DataFrame:
@@ -256,17 +256,17 @@ def set_components(texts: DataFrame, nodes: DataFrame) -> DataFrame:
     n_parts = tasks(texts)
     signed = texts.select("text").mapInArrow(_signed, _SIGNATURES)
     bucket = Window.partitionBy("signature")
-    shared = stored(
+    shared = stored_alone(
         signed.select("*", F.min("node").over(bucket).alias("low"), F.max("node").over(bucket).alias("high"), F.count("*").over(bucket).alias("size"))
         .filter("low <> high").select("signature", "node", "size").distinct()
     )
     # The original of a group of copies shares more with each than they share with each other: it meets more sets.
-    degrees = stored(shared.groupBy("node").agg(F.sum("size").alias("degree")))
+    degrees = stored_alone(shared.groupBy("node").agg(F.sum("size").alias("degree")))
     labels = degrees.select("node", F.col("node").alias("component"))
     shared = shared.select("signature", "node")
     # The texts find their sets by key, without a further pass that hashes their words; copies meet before the join.
     distinct = texts.groupBy("text_key").agg(F.first("text").alias("text"))
-    members = stored(distinct.join(nodes.join(labels.select("node"), "node", "left_semi"), "text_key").select("node", "text"))
+    members = stored_alone(distinct.join(nodes.join(labels.select("node"), "node", "left_semi"), "text_key").select("node", "text"))
     done = None
     for _ in range(STAR_ROUNDS):
         rows = shared.join(labels.join(degrees, "node"), "node")
@@ -281,9 +281,9 @@ def set_components(texts: DataFrame, nodes: DataFrame) -> DataFrame:
         done = checked if done is None else done.unionByName(checked)
     rows = shared.join(labels, "node")
     span = rows.select("*", F.min("component").over(bucket).alias("low"), F.max("component").over(bucket).alias("high"))
-    open_rows = stored(span.filter("low <> high").select("signature", "node", "component"))
+    open_rows = stored_alone(span.filter("low <> high").select("signature", "node", "component"))
     needed = members.join(open_rows.select("node").distinct(), "node", "left_semi")
-    sketches = stored(needed.mapInArrow(_sketched, "node long, n long, cells binary"))
+    sketches = stored_alone(needed.mapInArrow(_sketched, "node long, n long, cells binary"))
     placed = open_rows.join(sketches, "node").select(
         "*", (F.row_number().over(bucket.orderBy("n", "node")) - 1).alias("place"), F.count("*").over(bucket).alias("size")
     )
@@ -310,12 +310,12 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     """
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
     rows = rows.withColumn("text_key", text_key(F.col("text")))
-    described = stored(rows.mapInArrow(_described, _SETS))
+    described = stored_alone(rows.mapInArrow(_described, _SETS))
     found = described.filter("n_shingles > 0").groupBy("node")
     nodes = found.agg(
         F.min("doc_id").alias("first"), F.min("check").alias("low"), F.max("check").alias("high"), F.min("text_key").alias("text_key")
     )
-    nodes = stored(nodes)
+    nodes = stored_alone(nodes)
     if not nodes.filter("low <> high").isEmpty():
         raise RuntimeError("two different sets have one hash")
     labels = set_components(rows.select("text_key", "text"), nodes.select("node", "text_key"))
