@@ -17,14 +17,18 @@ def stored(df: DataFrame) -> DataFrame:
 
 
 def stored_alone(df: DataFrame) -> DataFrame:
-    """As `stored`; the shuffle files of the jobs up to here are given up.
+    """As `stored`; the shuffle files that the write needed are deleted when it is done.
 
-    Spark deletes the files of a shuffle when the driver's JVM collects its plan. That may be long after the last use, and
-    a job of many steps would fill the disks meanwhile, so the JVM is asked to collect here.
+    Spark otherwise keeps them until the driver's JVM collects the plan, which may be long after their last use, and a job
+    of many steps would fill the disks meanwhile.
     """
-    out = stored(df)
-    df.sparkSession.sparkContext._jvm.System.gc()
-    return out
+    conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(name)
+    conf.set(name, "true")
+    try:
+        return stored(df)
+    finally:
+        conf.set(name, before)
 
 
 def tasks(df: DataFrame) -> int:
