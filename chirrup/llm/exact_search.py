@@ -1,10 +1,11 @@
 """Exact top-k by inner product over an impact-ordered index, score at a time.
 
-A shard holds some vectors and, for each dimension, its postings in segments of equal quantised impact. Impacts are
-measured from the smallest value of the dimension where a query's weight is positive and from the largest where it is
-negative, so no contribution is negative. A query adds segments in falling order of what they can contribute. What a
-vector can still gain is bounded by the open segments; the search stops when few vectors can still reach the k best, and
-these are scored exactly.
+A shard holds some vectors and, for each dimension, its postings by value, cut into segments of one quantised value each.
+A score is what the squared lengths of both vectors leave when the squared differences of their components are taken off:
+`2 q v = |q|^2 + |v|^2 - sum (q - v)^2`. So each vector starts with an upper bound, and each posting lowers it by its
+impact, the squared difference. A query adds segments by falling impact, those far from its own component first. A vector
+whose bound is below the `k`-th best score found so far is out: that is the proof, and it holds for most vectors long
+before all segments are read. Those that it leaves are scored exactly.
 """
 
 from collections.abc import Iterator
@@ -18,51 +19,69 @@ from chirrup.llm.common import stored, tasks
 
 SCALE = 1024
 SHARD_ROWS = 1 << 14
-LEVELS = 16
-# Segments between two looks at the bounds, and the part of a shard that is rescored rather than searched on.
-STEP = 64
-RESCORED = 32
+LEVELS = 32
+# The part of all postings that is read before the first look at the bounds, and between two looks.
+FIRST, STEP = 3 / 8, 1 / 16
+# The search stops when the proof leaves at most this part of a shard; what is left is scored exactly.
+RESCORED = 1 / 20
 
 
 class Shard:
-    """Postings by dimension: rows in falling order of value, cut into segments of one quantised value each."""
+    """Postings by dimension: rows and their values in rising order, cut into segments of one quantised value each."""
 
     def __init__(self, values: np.ndarray):
         self.values = values
         n, dims = values.shape
-        self.low, self.high = values.min(axis=0).astype(float), values.max(axis=0).astype(float)
-        self.width = np.maximum((self.high - self.low) / LEVELS, 1e-9)
-        level = np.clip(((values - self.low) / self.width).astype(np.int64), 0, LEVELS - 1)
-        self.rows = np.argsort(level, axis=0, kind="stable").astype(np.int32)
-        self.cuts = np.stack([np.searchsorted(level[self.rows[:, d], d], np.arange(LEVELS + 1)) for d in range(dims)]) if dims else np.zeros((0, LEVELS + 1), int)
+        exact = values.T.astype(float)
+        self.lengths = (exact**2).sum(axis=0)
+        self.middle = float(np.median(self.lengths)) if n else 0.0
+        self.rows = np.argsort(exact, axis=1, kind="stable").astype(np.int32)
+        self.sorted = np.take_along_axis(exact, self.rows, 1)
+        low, high = (exact.min(axis=1), exact.max(axis=1)) if n else (np.zeros(dims), np.zeros(dims))
+        self.edges = low[:, None] + (high - low)[:, None] * np.arange(LEVELS + 1) / LEVELS
+        cuts = [np.searchsorted(x, edges) for x, edges in zip(self.sorted, self.edges)]
+        self.cuts = np.stack(cuts) if dims else np.zeros((0, LEVELS + 1), int)
+        self.cuts[:, 0], self.cuts[:, -1] = 0, n
 
-    def best(self, query: np.ndarray, k: int, own: np.ndarray) -> np.ndarray:
-        """Rows that may be among the k best besides `own`; all of the k best are among them."""
+    def best(self, query: np.ndarray, k: int, own: np.ndarray) -> tuple[np.ndarray, int]:
+        """Rows that may be among the k best besides `own`, all of the k best among them; and the postings read."""
         n, dims = self.values.shape
-        others = n - len(own)
-        if others <= max(k, n // RESCORED) or not dims:
-            return np.setdiff1d(np.arange(n), own)
-        weight = np.abs(query).astype(float)
-        rising = query >= 0
-        # The impact of level l is at least floor[l] widths where the weight is positive, and counts down where it is negative.
-        gains = weight * self.width
-        order = np.argsort(-(gains[:, None] * (LEVELS - np.arange(LEVELS))[None, :]).ravel(), kind="stable")
-        partial, done, at = np.zeros(n), np.zeros(dims, np.int64), 0
-        while True:
-            for segment in order[at : at + STEP]:
-                d, place = divmod(int(segment), LEVELS)
-                done[d] = place + 1
-                if gains[d] and place < LEVELS - 1:
-                    level = LEVELS - 1 - place if rising[d] else place
-                    partial[self.rows[self.cuts[d, level] : self.cuts[d, level + 1], d]] += gains[d] * (LEVELS - 1 - place)
-            at += STEP
-            slack = float((gains * np.maximum(LEVELS - done, 1)).sum()) * (1 + 1e-9) + 1e-6
-            seen = partial.copy()
-            seen[own] = -1
-            least = np.partition(seen, n - k)[n - k]
-            possible = np.flatnonzero(seen + slack >= least)
-            if len(possible) <= max(4 * k, n // RESCORED) or at >= len(order):
-                return np.setdiff1d(possible, own)
+        few = max(4 * k, int(n * RESCORED))
+        length = float((query.astype(float) ** 2).sum())
+        if n - len(own) <= few or not length or not self.middle:
+            return np.setdiff1d(np.arange(n), own), 0
+        # The bounds hold for any stretch of the query; they are close where it has the vectors' length.
+        stretch = np.sqrt(self.middle / length)
+        aim = query * stretch
+        bound = (length * stretch**2 + self.lengths) / (2 * stretch)
+        error = float(bound.max()) * 1e-9 + 1e-6
+        bound[own] = -np.inf
+        # A segment's impact is what each of its postings takes off at least. Segments below the query's component are
+        # read upwards and those above it downwards, so what is read of a dimension is always its two ends.
+        below = self.edges[:, :-1] <= aim[:, None]
+        apart = np.where(below, aim[:, None] - self.edges[:, 1:], self.edges[:, :-1] - aim[:, None])
+        order = np.argsort(-np.maximum(apart, 0).ravel() ** 2, kind="stable")
+        dimension, lower = order // LEVELS, below.ravel()[order]
+        upto = np.cumsum(np.diff(self.cuts, axis=1).ravel()[order])
+        looks = np.arange(FIRST, 1 + STEP, STEP) * n * dims
+        reads = np.append(np.unique(np.searchsorted(upto, looks[looks < upto[-1]])), len(order))
+        left, right, at, all_dims = np.zeros(dims, np.int64), np.full(dims, LEVELS), 0, np.arange(dims)
+        for read in reads.tolist():
+            part = slice(at, read)
+            low = left + np.bincount(dimension[part][lower[part]], minlength=dims)
+            high = right - np.bincount(dimension[part][~lower[part]], minlength=dims)
+            ends = np.stack([left, low, high, right])
+            for d, (a, b, c, e) in enumerate(self.cuts[all_dims, ends].T.tolist()):
+                for x, y in ((a, b), (c, e)):
+                    if x < y:
+                        bound[self.rows[d, x:y]] -= (self.sorted[d, x:y] - aim[d]) ** 2 / (2 * stretch)
+            left, right, at = low, high, read
+            leaders = np.argpartition(bound, n - k)[n - k :]
+            least = min(self.scores(leaders, query))
+            possible = np.flatnonzero(bound >= least - error - abs(least) * 1e-9)
+            if len(possible) <= few:
+                break
+        return possible, int(upto[at - 1])
 
     def scores(self, rows: np.ndarray, query: np.ndarray) -> list[int]:
         if not len(rows) or not len(query):
@@ -119,7 +138,7 @@ def top_k(
                 if shard is None:
                     shard = Shard(np.stack([p[2] for p in parts]))
                     shard_row, shard_id = np.array([p[0] for p in parts]), [p[1] for p in parts]
-                found = shard.best(v, k, np.flatnonzero(shard_row == row[j]))
+                found, _ = shard.best(v, k, np.flatnonzero(shard_row == row[j]))
                 ranked = sorted(zip([-s for s in shard.scores(found, v)], [(shard_id[x] is None, shard_id[x] or 0) for x in found.tolist()]))[:k]
                 out += [(row[j], own_ids[j], None if missing else x, -s) for s, (missing, x) in ranked]
             if out:

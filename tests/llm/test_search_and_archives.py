@@ -36,6 +36,23 @@ def test_search_of_few_and_repeated_vectors(spark):
     assert Counter(got) == Counter({(0, 1, 0, one): 2, (0, 2, 3, half): 2})
 
 
+@pytest.mark.parametrize("lengths", [1, 9])
+def test_search_stops_on_proof(spark, lengths):
+    """Less than half of the postings are read, a twentieth at most is scored again, and no row of the best is missing."""
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").orderBy("vec_id").select("embedding").collect()
+    values = np.floor(1024 * np.array([r.embedding for r in rows], float)).astype(np.int64)
+    values *= np.random.default_rng(1).integers(1, lengths + 1, len(values))[:, None]
+    shard, read, left = exact_search.Shard(values), [], []
+    for own in range(0, len(values), 20):
+        found, postings = shard.best(values[own], 10, np.array([own]))
+        scores = values @ values[own]
+        scores[own] = scores.min() - 1
+        assert set(np.flatnonzero(scores >= np.sort(scores)[-10])) <= set(found.tolist()) and own not in found
+        read.append(postings / values.size)
+        left.append(len(found) / len(values))
+    assert np.mean(read) < 0.5 and max(left) <= 0.05
+
+
 def test_search_leaves_out_no_length(spark):
     """Vectors of more than 65,536 lengths are too large for a test, so the plan must not bound their number."""
     docs = spark.createDataFrame([(0, [1.0, 2.0]), (1, [0.5, 0.5])], "vec_id long, embedding array<double>")
