@@ -215,7 +215,7 @@ def fit(
     """
     known = labels.filter(F.col(label).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.max(F.col(label).cast("int")).alias("_good"))
     sample = known.orderBy(F.xxhash64("_key"), "_key").limit(documents)
-    rows = docs.join(F.broadcast(sample), F.col(key) == F.col("_key")).select("_key", text_or_empty(text).alias("_text"), "_good")
+    rows = docs.select(F.col(key).alias("_key"), text_or_empty(text).alias("_text")).join(F.broadcast(sample), "_key")
     parts = F.split("_text", "\n")
     first = F.pmod(F.xxhash64("_key", "_text"), F.size(parts) - lines + 1).cast("int") + 1
     run = F.when(F.size(parts) > lines, F.array_join(F.slice(parts, first, F.lit(lines)), "\n")).otherwise(F.col("_text"))
