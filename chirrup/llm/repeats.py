@@ -2,10 +2,12 @@
 
 Equal windows have the same smallest gram hash, so a window needs to be looked up in one shard only: each text is cut
 into runs of windows that share their smallest gram, and a run goes to the shard of that gram. Grams that occur once in
-the corpus lead nowhere and are dropped before any text moves. Each shard builds a compressed index of its distinct runs
-and streams them against it.
+the corpus lead nowhere and are dropped before any text moves. Runs of a gram that is too frequent for one shard are cut
+again, by the next smallest gram of their windows, and equal ones become one with the weight of all. Each shard builds a
+compressed index of its distinct runs and streams them against it.
 """
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,19 +25,21 @@ from chirrup.llm.words import grams, hashed_words, mixed, within, word_spans
 WINDOW = 35
 GRAM = 8
 
-# A gram with more runs than this has its windows dealt out by their own hashes, and counted.
+# A gram with more runs than this is cut by the next smallest gram; a pair of grams that still has more different runs has
+# their windows dealt out by their own hashes, and counted.
 HOT_RUNS = 4096
 
 # A shard's index takes runs up to about this many words.
 SHARD_WORDS = 1 << 18
 
 _RUNS = "gram long, key binary, start int, n int, uses long"
-_SEGMENTS = "gram long, hash long, key binary, start int, n int, copies long, words binary, windows array<long>, others array<long>"
+_SEGMENTS = "gram long, hash binary, key binary, start int, n int, copies long, words binary"
+_WINDOWS = "a long, b long, key binary, start int, uses long"
 _FOUND = "key binary, start int, n int"
 
 
 def _batch(schema: str, *columns) -> pa.RecordBatch:
-    types = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
+    types = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
     fields = [field.split() for field in schema.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array(x, types[kind]) for x, (_, kind) in zip(columns, fields)], [name for name, _ in fields])
 
@@ -72,6 +76,14 @@ def runs_of(data: np.ndarray, offsets: np.ndarray, window: int) -> tuple[np.ndar
     return least[opens], text[opens], places[opens] - first[text[opens]], n, uses
 
 
+def cut_again(values: np.ndarray, least: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the grams of a run, whose windows hold `size` grams each: where the next smallest gram changes, and a hash of the pair."""
+    least = np.uint64(least & (1 << 64) - 1)
+    following = smallest(np.where(values == least, np.uint64(2**64 - 1), values), size)
+    opens = np.flatnonzero(np.append(True, following[1:] != following[:-1]))
+    return opens, mixed(following[opens] ^ mixed(np.array([least]))).view(np.int64)
+
+
 def _search(gram_rows: list[tuple], window: int) -> Iterator[pa.RecordBatch]:
     """One shard: its distinct runs, each with the weight of all its copies, against their own index."""
     distinct: dict[bytes, list[int]] = {}
@@ -111,32 +123,55 @@ def repeated_runs(docs: DataFrame, text: str = "text", window: int = WINDOW, hot
                 yield _batch(_RUNS, gram.view(np.int64), batch.column(0).slice(a, b - a).take(pa.array(text)), start.astype(np.int32), n.astype(np.int32), uses)
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The words of the runs; of hot grams a hash of the run and of each window."""
+        """The words of the runs; those of hot grams are cut again and have a hash of their words."""
+        gram = min(GRAM, window)
         for batch in batches:
             offsets, data = text_buffers(batch.column("text"))
             data = data[offsets[0] : offsets[-1]]
             begins, ends, first = word_spans(data, offsets - offsets[0])
             out: list[tuple] = []
             for k, (key, copies, runs) in enumerate(zip(batch.column("key").to_pylist(), batch.column("copies").to_pylist(), batch.column("runs").to_pylist())):
-                hashes = None
+                place, values = int(first[k]), None
+
+                def words(start: int, n: int) -> bytes:
+                    own = slice(place + start, place + start + n + window - 1)
+                    return b" ".join([data[i:j].tobytes() for i, j in zip(begins[own].tolist(), ends[own].tolist())])
+
                 for run in runs:
-                    a, n = int(first[k]) + run["start"], run["n"]
+                    start, n = run["start"], run["n"]
                     if not run["hot"]:
-                        words = b" ".join([data[i:j].tobytes() for i, j in zip(begins[a : a + n + window - 1].tolist(), ends[a : a + n + window - 1].tolist())])
-                        out.append((run["gram"], None, key, run["start"], n, copies, words, None, None))
+                        out.append((run["gram"], None, key, start, n, copies, words(start, n)))
                         continue
-                    if hashes is None:
-                        own = hashed_words(data, begins[first[k] : first[k + 1]], ends[first[k] : first[k + 1]])
-                        hashes = grams(own, window).view(np.int64), grams(mixed(own), window).view(np.int64)
-                    own = slice(run["start"], run["start"] + n)
-                    whole = [int(grams(h[own].view(np.uint64), n).view(np.int64)[0]) for h in hashes]
-                    out.append((whole[0], whole[1] ^ n, key, run["start"], n, copies, None, hashes[0][own], hashes[1][own]))
+                    if values is None:
+                        values = mixed(grams(hashed_words(data, begins[place : first[k + 1]], ends[place : first[k + 1]]), gram))
+                    opens, pairs = cut_again(values[start : start + n + window - gram], run["gram"], window - gram + 1)
+                    for a, b, pair in zip(opens.tolist(), [*opens[1:].tolist(), n], pairs.tolist()):
+                        held = words(start + a, b - a)
+                        out.append((pair, hashlib.blake2b(held, digest_size=16).digest(), key, start + a, b - a, copies, held))
                 if len(out) > 5_000:
                     yield _batch(_SEGMENTS, *zip(*out))
                     out = []
             if out:
                 yield _batch(_SEGMENTS, *zip(*out))
 
+    def windows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Two hashes of each window of the runs."""
+        for batch in batches:
+            offsets, data = text_buffers(batch.column("words"))
+            data = data[offsets[0] : offsets[-1]]
+            begins, ends, first = word_spans(data, offsets - offsets[0])
+            places = within(first, window)
+            if not len(places):
+                continue
+            hashes = hashed_words(data, begins, ends)
+            run = np.searchsorted(first, places, "right") - 1
+            start = batch.column("start").to_numpy()[run] + places - first[run]
+            owner = pa.array(run)
+            yield _batch(
+                _WINDOWS, grams(hashes, window).view(np.int64)[places], grams(mixed(hashes), window).view(np.int64)[places],
+                batch.column("key").take(owner), start.astype(np.int32), batch.column("copies").take(owner),
+            )
+
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Sorted by gram; a shard ends between two grams."""
         rows, size = [], 0
@@ -156,21 +191,20 @@ def repeated_runs(docs: DataFrame, text: str = "text", window: int = WINDOW, hot
     wanted = runs.join(counts, "gram").groupBy("key").agg(F.collect_set(run).alias("runs"))
     distinct = texts.groupBy("key").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
     pieces = stored(distinct.join(wanted, "key").mapInArrow(segments, _SEGMENTS))
-    cold = pieces.filter(F.col("words").isNotNull()).select("gram", "key", "start", "copies", "words")
-    found = cold.repartition(n_parts, "gram").sortWithinPartitions("gram").mapInArrow(search, _FOUND)
-    # Equal runs of hot grams meet first: those that come twice are repeated as a whole, and only one of them goes on to
-    # have its windows counted, with the weight of all.
-    hot = pieces.filter(F.col("words").isNull())
-    alike = hot.groupBy("gram", "hash").agg(
-        F.sum("copies").alias("uses"), *(F.first(name).alias(name) for name in ("key", "start", "windows", "others"))
-    )
-    alike = stored(alike)
-    often = alike.filter("uses > 1").select("gram", "hash")
-    found = found.unionByName(hot.join(often, ["gram", "hash"]).select("key", "start", "n"))
-    windows = alike.select("uses", "key", "start", F.posexplode(F.arrays_zip("windows", "others")).alias("place", "w"))
-    windows = windows.select("uses", "key", (F.col("start") + F.col("place")).alias("start"), "w.windows", "w.others")
-    twice = windows.groupBy("windows", "others").agg(F.sum("uses").alias("total")).filter("total > 1").drop("total")
-    single = windows.filter("uses = 1").join(twice, ["windows", "others"])
+    # Equal runs of hot grams meet first: those that come twice are repeated as a whole, and only one of them goes on, with
+    # the weight of all.
+    hot = pieces.filter(F.col("hash").isNotNull())
+    alike = hot.groupBy("gram", "hash").agg(F.sum("copies").alias("copies"), F.first(F.struct("key", "start", "words")).alias("run"))
+    alike = stored(alike.select("gram", "hash", "run.key", "run.start", "copies", "run.words"))
+    often = alike.filter("copies > 1").select("gram", "hash")
+    found = hot.join(often, ["gram", "hash"], "left_semi").select("key", "start", "n")
+    large = alike.groupBy("gram").agg(F.count("*").alias("runs")).filter(F.col("runs") > hot_runs).select("gram")
+    held = ["gram", "key", "start", "copies", "words"]
+    small = pieces.filter(F.col("hash").isNull()).select(held).unionByName(alike.join(large, "gram", "left_anti").select(held))
+    found = found.unionByName(small.repartition(n_parts, "gram").sortWithinPartitions("gram").mapInArrow(search, _FOUND))
+    windows = alike.join(large, "gram", "left_semi").select("key", "start", "copies", "words").mapInArrow(windows_of, _WINDOWS)
+    twice = windows.groupBy("a", "b").agg(F.sum("uses").alias("total")).filter("total > 1")
+    single = windows.filter("uses = 1").join(twice, ["a", "b"], "left_semi")
     found = found.unionByName(single.select("key", "start", F.lit(1).alias("n")))
     copies = texts.groupBy("key").agg(F.count("*").alias("copies")).filter("copies > 1")
     found = found.unionByName(copies.select("key", F.lit(0).alias("start"), F.lit(-1).alias("n")))
@@ -187,7 +221,9 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW, ho
     """
     marks = repeated_runs(docs, text, window, hot_runs).select(F.col("key").alias("_key"), F.col("marks").alias("_marks"))
     names = [name for name in docs.columns if name not in ("n_words", "n_removed")]
-    rows = docs.select(*(F.col(f"`{name}`") for name in names)).withColumn("_text_key", text_key(text_or_empty(text)))
+    own = {name: f"_own_{k}" for k, name in enumerate(names) if name != text}
+    rows = docs.select(*(F.col(f"`{name}`").alias(place) for name, place in own.items()), text_or_empty(text).alias("_text"))
+    rows = rows.withColumn("_text_key", text_key(F.col("_text")))
     joined = rows.join(marks, F.col("_text_key") == F.col("_key"), "left")
     kind = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
 
@@ -223,6 +259,6 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW, ho
                 [pa.array(texts, pa.string()), pa.array(np.concatenate(counts)), pa.array(gone)], ["text", "n_words", "n_removed"]
             )
 
-    done = joined.withColumn("_kept", keep(text_or_empty(text), F.col("_marks")))
-    own = [F.col("_kept.text").alias(name) if name == text else F.col(f"`{name}`") for name in names]
-    return done.select(*own, F.col("_kept.n_words").alias("n_words"), F.col("_kept.n_removed").alias("n_removed"))
+    done = joined.withColumn("_kept", keep(F.col("_text"), F.col("_marks")))
+    columns = [F.col(own.get(name, "_kept.text")).alias(name) for name in names]
+    return done.select(*columns, F.col("_kept.n_words").alias("n_words"), F.col("_kept.n_removed").alias("n_removed"))

@@ -160,6 +160,29 @@ def test_repeats(table, documents, hot_runs):
     assert counted((r.doc_id, r.n_words, r.n_removed, " ".join(plain.WORDS.findall(r.text))) for r in got.collect()) == counted(want)
 
 
+def test_repeats_around_a_hot_passage(spark):
+    """A passage in many texts, whose neighbours differ, come in few kinds, or are the same: all three ways are taken."""
+    rnd = random.Random(3)
+    passage, word = [f"p{k}" for k in range(50)], lambda n: f"w{rnd.randrange(n)}"
+    texts = [" ".join([*(word(500) for _ in range(20)), *passage, *(word(4) for _ in range(3)), *(word(500) for _ in range(20))]) for _ in range(60)]
+    texts += ["z " * 90, "z " * 90 + "y", " ".join(passage)]
+    docs = spark.createDataFrame([(k, text) for k, text in enumerate(texts)], "doc_id long, text string")
+    want = [(k, len(words), sum(gone)) for k, (words, gone) in enumerate(plain.removed(texts))]
+    for hot_runs in (0, 2, 30, 200):
+        got = repeats.remove_repeats(docs, hot_runs=hot_runs)
+        assert counted((r.doc_id, r.n_words, r.n_removed) for r in got.collect()) == counted(want)
+
+
+def test_own_columns_with_the_names_of_helpers_stay(spark):
+    names = ["_key", "_marks", "_text_key", "_kept", "_text", "_good", "_own_0"]
+    docs = spark.range(8).selectExpr("id as doc_id", "repeat('the same words in a line ', 20) as text", *(f"id as `{name}`" for name in names))
+    got = repeats.remove_repeats(docs)
+    assert got.columns == [*docs.columns, "n_words", "n_removed"]
+    assert all(r[name] == r.doc_id and r.n_removed == 120 for r in got.collect() for name in names)
+    labels = spark.range(8).selectExpr("id as doc_id", "cast(id % 2 as int) as quality", "id as _key", "id as _good")
+    assert quality_crf.fit(docs, labels).prior == 0.5
+
+
 def test_repeats_of_nothing(empty):
     assert repeats.remove_repeats(empty).count() == 0
 
