@@ -19,11 +19,14 @@ from pyspark.sql.functions import arrow_udf
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from chirrup.llm.common import tasks, text_or_empty
-from chirrup.llm.pretokens import as_lists, bpe, cut_column, read_blob
+from chirrup.llm.pretokens import as_lists, bpe, cut_column, read_blob, text_buffers
 
 # A task that encodes words forgets them beyond this number; a word that comes again is then encoded again.
 REMEMBERED_WORDS = 1 << 19
 
+# Rows that are decoded together.
+DECODED_ROWS = 256
+
 
 def _packed(values: np.ndarray) -> bytes:
     """Numbers below 2**32, as their bytes in planes, compressed."""
@@ -49,7 +52,20 @@ def _split(sizes: bytes, blob: bytes) -> list[bytes]:
 
 def _mark(words: pa.BinaryArray) -> int:
     """The number of a block's words and a checksum of them."""
-    return (zlib.crc32(b"\0".join(words.to_pylist())) << 31) + len(words)
+    offsets, data = text_buffers(words)
+    check = zlib.crc32(data[offsets[0] : offsets[-1]], zlib.crc32(np.diff(offsets)))
+    return (check << 31) + len(words)
+
+
+def _buckets(words: pa.BinaryArray, n: int) -> np.ndarray:
+    """The bucket of each word, by its checksum; few words at a time become objects."""
+    parts = [[zlib.crc32(w) % n for w in words.slice(k, 4096).to_pylist()] for k in range(0, len(words), 4096)]
+    return np.concatenate([np.zeros(0, np.int32), *(np.array(x, np.int32) for x in parts)])
+
+
+def _released() -> None:
+    """Give back what Arrow keeps for later: the worker waits for its next task, and others share the executor with it."""
+    pa.default_memory_pool().release_unused()
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", carry: list[str] | None = None) -> DataFrame:
@@ -81,7 +97,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", car
         for number, batch in enumerate(batches):
             words = cut_column(batch.column(0), tokenizer).words
             mark = _mark(words)
-            bucket = np.fromiter((zlib.crc32(w) % n_buckets for w in words.to_pylist()), np.int32, len(words))
+            bucket = _buckets(words, n_buckets)
             order = np.argsort(bucket, kind="stable")
             cuts = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
             for k in np.unique(bucket).tolist():
@@ -92,6 +108,8 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", car
                     "block": pa.array([block_of(batch.column(1), number)], pa.int64()), "bucket": pa.array([k], pa.int32()), "n_words": pa.array([mark], pa.int64()),
                     "codes": pa.array([deltas], pa.binary()), "sizes": pa.array([sizes], pa.binary()), "words": pa.array([blob], pa.binary()),
                 })
+            del words
+            _released()
 
     def ids_of_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each distinct word of the bucket once."""
@@ -125,6 +143,8 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", car
                  pa.array(codes, pa.binary()), pa.array([whole.get(k) for k in range(n)], pa.binary()), batch.column(0)],
                 ["block", "bucket", "n_words", "codes", "words", "doc"],
             )
+            del found, codes, whole
+            _released()
 
     def reassembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Sorted by block, with the ids of its words before its texts."""
@@ -178,12 +198,21 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") ->
         offsets, data = shared.value
         tokens = pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)])
         for column in columns:
-            found = (None if blob is None else np.frombuffer(blob, "<u4") for blob in column.to_pylist())
-            yield pa.array([None if x is None else _bytes(tokens.take(pa.array(x))) for x in found], pa.binary())
+            parts = [_texts_of(column.slice(k, DECODED_ROWS), tokens) for k in range(0, len(column), DECODED_ROWS)]
+            yield pa.concat_arrays(parts) if parts else pa.array([], pa.binary())
+            del parts
+            _released()
 
     return df.withColumn(out, join(F.col(ids)))
 
 
-def _bytes(tokens: pa.BinaryArray) -> bytes:
-    offsets = np.frombuffer(tokens.buffers()[1], np.int32)
-    return tokens.buffers()[2].to_pybytes()[offsets[tokens.offset] : offsets[tokens.offset + len(tokens)]] if len(tokens) else b""
+def _texts_of(column: pa.Array, tokens: pa.BinaryArray) -> pa.BinaryArray:
+    """The bytes of the ids of each row; nulls stay null."""
+    missing = column.is_null().to_numpy(zero_copy_only=False)
+    offsets, data = text_buffers(column.fill_null(b""))
+    ids = np.frombuffer(data[offsets[0] : offsets[-1]].tobytes(), "<u4")
+    found = tokens.take(pa.array(ids))
+    ends, raw = text_buffers(found)
+    ends = ends[(offsets - offsets[0]) // 4]
+    held = None if not missing.any() else pa.py_buffer(np.packbits(~missing, bitorder="little"))
+    return pa.Array.from_buffers(pa.binary(), len(column), [held, pa.py_buffer((ends - ends[0]).astype(np.int32)), pa.py_buffer(raw[ends[0] : ends[-1]])])

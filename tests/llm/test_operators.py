@@ -29,6 +29,15 @@ def test_bpe_codec(table, documents, empty):
     assert bpe_codec.encode(empty, RANKS).count() == 0
 
 
+def test_decoding_of_nulls_and_of_no_ids(spark):
+    ids = [None, b"", plain.little_endian(plain.multi_encoding().encode_ordinary("some é text")), None, b""] * 200
+    docs = spark.createDataFrame(list(enumerate(ids)), "key long, ids binary").coalesce(1)
+    got = {r.key: r.decoded for r in bpe_codec.decode(docs, RANKS).collect()}
+    want = {None: None, b"": b""}
+    assert all((None if got[k] is None else bytes(got[k])) == want.get(blob, "some é text".encode()) for k, blob in enumerate(ids))
+    assert bpe_codec.decode(docs.limit(0), RANKS).count() == 0
+
+
 def test_a_block_that_changes_between_readings_stops_the_job(spark):
     chance = F.udf(lambda: str(random.random())).asNondeterministic()
     docs = spark.range(2000).select(F.concat(F.lit("a "), chance()).alias("text"))
