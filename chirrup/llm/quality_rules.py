@@ -23,8 +23,9 @@ WHITE = " \t\n\x0b\x0c\r"
 RULES = {"symbols": 1, "marks": 1, "dup_lines": 1, "repeats": 6, "word_length": 1}
 FENCE = 4
 
-# Groups of fewer texts use the thresholds of their language.
-MIN_GROUP = 100
+# The sketch of a group is merged with its language's, condensed to so many quantiles of so many texts each; so few texts
+# say little, and no size of a group is a bound.
+POINTS, POINT_TEXTS = 20, 5
 TOP = 1000
 
 # Up to so many distinct repeated windows are looked up one by one; beyond it, windows are sorted. Both are exact.
@@ -83,24 +84,30 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-def thresholds(measures: DataFrame, group: list[str]) -> DataFrame:
-    """For each group and rule the upper quartile `_high_...` and the `_spread_...`; the group's number of texts `_texts`."""
+def thresholds(measures: DataFrame) -> DataFrame:
+    """For each language, source and rule the upper quartile `_high_...` and the `_spread_...` of the merged sketches."""
     names = [f"_{part}_{rule}" for rule in RULES for part in ("bin", "step")]
     marks = F.explode(F.array(*(F.struct(F.lit(name).alias("name"), F.col(name).alias("bin")) for name in names)))
-    sketch = measures.select(*group, marks.alias("m")).groupBy(*group, "m.name", "m.bin").agg(F.count("*").alias("n"))
-    of_name = Window.partitionBy(*group, "name")
-    ranked = sketch.select("*", F.sum("n").over(of_name).alias("_texts"), F.sum("n").over(of_name.orderBy("bin")).alias("upto"))
-    quantile = lambda name, q: F.min(F.when((F.col("name") == name) & (F.col("upto") * 100 >= F.col("_texts") * q), F.col("bin")))
+    own = measures.select("_lang", "_source", marks.alias("m")).groupBy("_lang", "_source", "m.name", "m.bin").agg(F.count("*").alias("n"))
+    upto = lambda df, *keys: df.select("*", F.sum("n").over(Window.partitionBy(*keys)).alias("texts"), F.sum("n").over(Window.partitionBy(*keys).orderBy("bin")).alias("upto"))
+    language = upto(own.groupBy("_lang", "name", "bin").agg(F.sum("n").alias("n")), "_lang", "name")
+    # Point i stands at (2 i - 1) / (2 POINTS) of the texts.
+    points = F.expr(f"(upto * {2 * POINTS} + texts) div (2 * texts) - ((upto - n) * {2 * POINTS} + texts) div (2 * texts)")
+    language = language.select(F.col("_lang").alias("_of"), "name", "bin", (points * POINT_TEXTS).alias("n")).filter("n > 0")
+    groups = own.select("_lang", "_source").distinct()
+    merged = own.unionByName(groups.join(language, F.col("_lang").eqNullSafe(F.col("_of"))).select(own.columns))
+    ranked = upto(merged, "_lang", "_source", "name")
+    quantile = lambda name, q: F.min(F.when((F.col("name") == name) & (F.col("upto") * 100 >= F.col("texts") * q), F.col("bin")))
     found = {f"_high_{rule}": quantile(f"_bin_{rule}", 75) for rule in RULES}
     found |= {f"_spread_{rule}": F.greatest(quantile(f"_bin_{rule}", 75) - quantile(f"_bin_{rule}", 25), quantile(f"_step_{rule}", 50)) for rule in RULES}
-    return ranked.groupBy(*group).agg(F.first("_texts").alias("_texts"), *(value.alias(name) for name, value in found.items()))
+    return ranked.groupBy("_lang", "_source").agg(*(value.alias(name) for name, value in found.items()))
 
 
 def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", carry: list[str] | None = None) -> DataFrame:
     """Add the counts of the base rules, `base_failed` and `kept` (false if a base rule or an adaptive threshold fails).
 
-    Thresholds come from all texts that pass the base rules, by language and source; groups below `MIN_GROUP` texts
-    take those of their language. A null text is empty and fails; null languages and sources are groups of their own;
+    Thresholds come from all texts that pass the base rules, by language and source, whose sketch is merged with a
+    condensed one of the language. A null text is empty and fails; null languages and sources are groups of their own;
     repeated rows count and are judged each; an empty table stays empty; columns with the names of the results are
     replaced. `carry` names the columns to keep (all by default).
     """
@@ -117,16 +124,12 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     wholes = {"symbols": ("word_chars", 1000), "marks": ("word_chars", 1000), "dup_lines": ("n_lines", 1000), "repeats": ("n_words", 1000), "word_length": ("n_words", 10)}
     steps = {f"_step_{rule}": _step(RULES[rule], r(whole), scale) for rule, (whole, scale) in wholes.items()}
     rows = stored(rows.withColumns({"_failed": failed} | {f"_bin_{rule}": value for rule, value in bins.items()} | steps))
-    passed = rows.filter(~F.col("_failed"))
-    fine = thresholds(passed, ["_lang", "_source"]).filter(F.col("_texts") >= MIN_GROUP)
-    coarse = thresholds(passed, ["_lang"])
-    for name, limits, keys in (("fine", fine, ["_lang", "_source"]), ("coarse", coarse, ["_lang"])):
-        limits = limits.select(*(F.col(key).alias(f"{key}_{name}") for key in keys), F.struct(*(f"_{part}_{rule}" for rule in RULES for part in ("high", "spread"))).alias(name))
-        match = [F.col(key).eqNullSafe(F.col(f"{key}_{name}")) for key in keys]
-        rows = rows.join(limits, match, "left").drop(*(f"{key}_{name}" for key in keys))
-    within, limits = F.lit(True), F.coalesce("fine", "coarse")
+    limits = thresholds(rows.filter(~F.col("_failed")))
+    limits = limits.withColumnsRenamed({"_lang": "_of_lang", "_source": "_of_source"})
+    match = F.col("_lang").eqNullSafe(F.col("_of_lang")) & F.col("_source").eqNullSafe(F.col("_of_source"))
+    rows, within = rows.join(limits, match, "left"), F.lit(True)
     for rule in RULES:
-        within &= F.col(f"_bin_{rule}") <= limits[f"_high_{rule}"] + FENCE * F.greatest(limits[f"_spread_{rule}"], F.col(f"_step_{rule}"))
+        within &= F.col(f"_bin_{rule}") <= F.col(f"_high_{rule}") + FENCE * F.greatest(F.col(f"_spread_{rule}"), F.col(f"_step_{rule}"))
     results = {"n_words": r("n_words"), "word_chars": r("word_chars"), "n_symbols": r("n_symbols"), "n_dup_lines": r("n_dup_lines"),
                "n_repeat_words": r("n_repeat_words"), "base_failed": F.col("_failed"), "kept": ~F.col("_failed") & F.coalesce(within, F.lit(False))}
     own = [F.col(f"_own_{k}").alias(name) for k, name in enumerate(names) if name not in results]

@@ -98,6 +98,36 @@ def quality_counts(text):
     return len(words), sum(map(len, words)), symbols, dup_lines, len(covered), failed
 
 
+def quality_kept(rows, scales, fence=4, points=20, point_texts=5):
+    """The verdict on each `(text, lang, source)`; `scales` has for each rule the scale of its share and the events of a step."""
+    measured = []
+    for text, lang, source in rows:
+        words, chars, symbols, dup_lines, repeats, failed = quality_counts(text or "")
+        lines = sum(bool(WORDS.search(line)) for line in (text or "").split("\n"))
+        marks = sum(c in "!?" for c in text or "")
+        shares = {"symbols": (symbols, chars), "marks": (marks, chars), "dup_lines": (dup_lines, lines), "repeats": (repeats, words), "word_length": (chars, words)}
+        bins = {rule: min(1000, scales[rule][0] * part // max(whole, 1)) for rule, (part, whole) in shares.items()}
+        steps = {rule: min(1000, -(-scales[rule][0] * scales[rule][1] // max(whole, 1))) for rule, (_, whole) in shares.items()}
+        measured.append((lang, source, failed, bins, steps))
+
+    def limits(own, language):
+        def at(part, rule, q):
+            values = sorted(m[part][rule] for m in language)
+            more = [values[-(-(2 * i + 1) * len(values) // (2 * points)) - 1] for i in range(points)]
+            merged = sorted([m[part][rule] for m in own] + more * point_texts)
+            return merged[-(-len(merged) * q // 100) - 1]
+
+        return {rule: (at(3, rule, 75), max(at(3, rule, 75) - at(3, rule, 25), at(4, rule, 50))) for rule in scales}
+
+    passed = [m for m in measured if not m[2]]
+    found = {key: limits([m for m in passed if m[:2] == key], [m for m in passed if m[0] == key[0]]) for key in {m[:2] for m in passed}}
+
+    def kept(lang, source, failed, bins, steps):
+        return not failed and all(bins[rule] <= high + fence * max(spread, steps[rule]) for rule, (high, spread) in found[lang, source].items())
+
+    return [kept(*m) for m in measured]
+
+
 def multi_encoding():
     with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as file:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}

@@ -204,6 +204,28 @@ def test_quality_rules(table, documents, empty):
     assert quality_rules.judge(empty).count() == 0
 
 
+def test_quality_verdicts(spark, table):
+    scales = {rule: (10 if rule == "word_length" else 1000, events) for rule, events in quality_rules.RULES.items()}
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang", "source").unionByName(table.select("doc_id", "text", "lang", "source"))
+    rows = docs.collect()
+    want = plain.quality_kept([(r.text, r.lang, r.source) for r in rows], scales)
+    got = quality_rules.judge(docs, carry=["doc_id"]).collect()
+    assert counted((r.doc_id, r.kept) for r in got) == counted(zip((r.doc_id for r in rows), want))
+    assert 0 < sum(want) < sum(not r.base_failed for r in got)
+
+
+def test_quality_limits_do_not_jump_with_the_size_of_a_group(spark):
+    """With 99 or 101 texts a group has the same limit; with many more it is its own. Ten of the texts probe the limit."""
+    word = "concat(if(x <= k, 'w#', 'w'), lpad(pmod(hash(doc_id, x), 1000), 3, '0'))"
+    verdicts = []
+    for size in (99, 101, 800):
+        marked = f"if(id < {size - 10}, 10, if(id < {size}, 10 + 2 * (id - {size - 10}), 0)) + if(id < {size - 10} or id >= {size}, pmod(id, 2), 0)"
+        docs = spark.range(3000).selectExpr("id as doc_id", "'en' as lang", f"if(id < {size}, 'notes', 'prose') as source", f"{marked} as k")
+        docs = docs.selectExpr("*", f"concat_ws(' ', transform(sequence(1, 80), x -> {word})) as text")
+        verdicts.append(sum(r.kept for r in quality_rules.judge(docs).collect() if size - 10 <= r.doc_id < size))
+    assert verdicts[0] == verdicts[1] != verdicts[2]
+
+
 def test_quality_thresholds_adapt(spark):
     prose = "concat_ws(' ', transform(sequence(1, 80), x -> concat('w', hash(id, x))))"
     docs = spark.range(600).selectExpr(
