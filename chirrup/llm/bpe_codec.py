@@ -24,6 +24,9 @@ from chirrup.llm.pretokens import as_lists, bpe, cut_column, read_blob, text_buf
 # A task that encodes words forgets them beyond this number; a word that comes again is then encoded again.
 REMEMBERED_WORDS = 1 << 19
 
+# Texts are cut in pieces of about this size: cutting takes some twenty times as much memory.
+CUT_BYTES = 1 << 20
+
 # Rows that are decoded together.
 DECODED_ROWS = 256
 
@@ -95,7 +98,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", car
         """The block's distinct words, dealt into buckets, with their codes."""
         tokenizer = bpe(shared.value)
         for number, batch in enumerate(batches):
-            words = cut_column(batch.column(0), tokenizer).words
+            words = cut_column(batch.column(0), tokenizer, size=CUT_BYTES).words
             mark = _mark(words)
             bucket = _buckets(words, n_buckets)
             order = np.argsort(bucket, kind="stable")
@@ -134,7 +137,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", car
         """Each text as codes; a text that only the library can cut as its bytes, with bucket -2."""
         tokenizer = bpe(shared.value)
         for number, batch in enumerate(batches):
-            found = cut_column(batch.column(1), tokenizer)
+            found = cut_column(batch.column(1), tokenizer, size=CUT_BYTES)
             n, block = len(batch), block_of(batch.column(2), number)
             codes = [_packed(found.codes[a:b]) for a, b in zip(found.first[:-1], found.first[1:])]
             whole = {k: found.text(k).encode() for k in np.flatnonzero(found.unknown).tolist()}
@@ -148,7 +151,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", car
 
     def reassembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Sorted by block, with the ids of its words before its texts."""
-        tokenizer, block, lists, parts = bpe(shared.value), None, None, []
+        block, lists, parts = None, None, []
         for batch in batches:
             blocks, buckets = batch.column("block").to_numpy(), batch.column("bucket").to_numpy()
             n_words, codes, words, sizes = (batch.column(c) for c in ("n_words", "codes", "words", "sizes"))
@@ -167,7 +170,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", car
                     ids = as_lists(np.concatenate([np.zeros(0, np.int64), *(p[1] for p in parts)]), np.concatenate([np.zeros(0, "<u4"), *(p[2] for p in parts)]))
                     lists, parts = ids.take(pa.array(np.argsort(order))), []
                 raw = words[k].as_py()
-                ids = lists.take(pa.array(_unpacked(codes[k].as_py()))).flatten().to_numpy() if raw is None else np.array(tokenizer.whole(raw.decode()), "<u4")
+                ids = lists.take(pa.array(_unpacked(codes[k].as_py()))).flatten().to_numpy() if raw is None else np.array(bpe(shared.value).whole(raw.decode()), "<u4")
                 out.append(ids.astype("<u4").tobytes())
                 kept.append(k)
                 if len(out) >= 256:

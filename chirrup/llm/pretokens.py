@@ -257,8 +257,8 @@ class Cut(NamedTuple):
         return self.data[self.offsets[k] : self.offsets[k + 1]].tobytes().decode()
 
 
-def cut_column(column: pa.Array, tokenizer: Bpe, known: pa.BinaryArray | None = None) -> Cut:
-    """Pre-tokens of a whole column; texts are cut in pieces that bound the memory, and coded together.
+def cut_column(column: pa.Array, tokenizer: Bpe, known: pa.BinaryArray | None = None, size: int = CHUNK_BYTES) -> Cut:
+    """Pre-tokens of a whole column; texts are cut in pieces of about `size` bytes, which bound the memory, and coded together.
 
     The codes of pre-tokens in `known` are their places there; those of the other distinct ones follow.
     """
@@ -266,7 +266,7 @@ def cut_column(column: pa.Array, tokenizer: Bpe, known: pa.BinaryArray | None =
     data, offsets = data[offsets[0] : offsets[-1]], offsets - offsets[0]
     find = tokenizer.cut if tokenizer.special else cut
     bounds, firsts, unknown, seen = [], [np.zeros(1, np.int64)], [np.zeros(0, bool)], 0
-    for a, b in chunks(offsets):
+    for a, b in chunks(offsets, size):
         own = find(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
         bounds.append((own[0][:-1] + offsets[a]).astype(np.int32))
         firsts.append(own[1][1:] + seen)
