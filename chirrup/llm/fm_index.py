@@ -40,26 +40,30 @@ class FmIndex:
         last = codes[order - 1].astype(np.int64)  # the word before each suffix
         self.width = max(1, int(codes.max()).bit_length())
         # Where each word's suffixes begin, and where its occurrences begin in the last level of the matrix.
-        counts = np.bincount(codes, minlength=int(codes.max()) + 1)
-        self.begin = np.append(0, np.cumsum(counts))[:-1]
+        self.counts = np.bincount(codes, minlength=int(codes.max()) + 1)
+        self.begin = np.append(0, np.cumsum(self.counts))[:-1]
         self.levels = []
         for bit in reversed(range(self.width)):
             ones = (last >> bit & 1).astype(bool)
             self.levels.append(Bits(ones))
             last = np.concatenate([last[~ones], last[ones]])
         starts = np.flatnonzero(np.append(True, last[1:] != last[:-1]))
-        self.last_begin = np.zeros(len(counts), np.int64)
+        self.last_begin = np.zeros(len(self.counts), np.int64)
         self.last_begin[last[starts]] = starts
 
     def step(self, low: np.ndarray, high: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The suffixes that have one more word in front."""
+        # Both ends go down the levels together, in half as many calls.
+        places = np.stack([low, high])
         for level, bit in zip(self.levels, reversed(range(self.width))):
-            ones = (words >> bit & 1).astype(bool)
-            low_ones, high_ones = level.ones(low), level.ones(high)
-            low = np.where(ones, level.zeros + low_ones, low - low_ones)
-            high = np.where(ones, level.zeros + high_ones, high - high_ones)
-        shift = self.begin[words] - self.last_begin[words]
-        return low + shift, high + shift
+            ones = level.ones(places)
+            places = np.where((words >> bit & 1).astype(bool), level.zeros + ones, places - ones)
+        places += self.begin[words] - self.last_begin[words]
+        return places[0], places[1]
+
+    def single(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The suffixes that begin with a word."""
+        return self.begin[words], self.begin[words] + self.counts[words]
 
     def weight_of(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
         return self.weight[high] - self.weight[low]
@@ -70,49 +74,52 @@ def rank_zero(codes: np.ndarray, length: int) -> np.ndarray:
     return np.arange(max(len(codes) - length, 0), len(codes))
 
 
-# A first, short probe: a window that holds a run of so many words that is nowhere else is not repeated.
-PROBE = 8
+# A lane has at most so many windows, so that long sequences do not keep the loop running for a few lanes.
+RANGE = 64
 
 
 def repeated_windows(index: FmIndex, codes: np.ndarray, first: np.ndarray, window: int) -> np.ndarray:
     """For each place of the streamed `codes`, whether the window from there occurs in the index with a weight of two or more.
 
-    `first` are the begins and the end of the sequences. Each lane streams one sequence from right to left. For the last
-    undecided window it searches backwards from the window's first words: if they are unique, so are all windows that
-    hold them. Otherwise it searches from the window's end; a match that reaches the window's begin is extended as far
-    as it goes, and all windows in it are repeated.
+    `first` are the begins and the end of the sequences. A lane holds a range of undecided windows of one sequence, and
+    searches backwards from the end of one of them. A search that fails has met words that are nowhere else, so none of the
+    windows is repeated that hold these: the searched one and later ones that begin up to there. A search that reaches its
+    window's begin goes on as far as it can, and all windows in the match are repeated. The undecided windows on both sides
+    become lanes. The first window of a range is searched first, as a failure there decides most; behind a repeated one, the
+    last that overlaps with it, as the match may reach back; and if it does not, the middle one of those in between.
     """
-    found = np.zeros(len(codes), bool)
-    begin, start = first[:-1].astype(np.int64), first[1:].astype(np.int64) - window
-    lanes = np.flatnonzero(start >= begin)
-    begin, start = begin[lanes], start[lanes]
-    short = np.ones(len(lanes), bool)
-    place = start + PROBE  # the next word to put in front is the one before this place
-    low, high = np.zeros(len(lanes), np.int64), np.full(len(lanes), index.n)
+    edges = np.zeros(len(codes) + 1, np.int64)
+    # The undecided windows, the searched one, whether the range is halved, and the first word that the search has taken.
+    begin, end = first[:-1].astype(np.int64), first[1:].astype(np.int64) - window + 1
+    lanes = -(-np.maximum(end - begin, 0) // RANGE)
+    end = np.repeat(end, lanes)
+    begin = np.repeat(begin - RANGE * (np.cumsum(lanes) - lanes), lanes) + RANGE * np.arange(len(end))
+    end = np.minimum(begin + RANGE, end)
+    start, half = begin.copy(), np.zeros(len(begin), bool)
+    place = start + window - 1
+    low, high = index.single(codes[place])
     while len(start):
-        new_low, new_high = index.step(low, high, codes[place - 1].astype(np.int64))
-        holds = index.weight_of(new_low, new_high) >= 2
-        low, high = np.where(holds, new_low, low), np.where(holds, new_high, high)
-        place = np.where(holds, place - 1, place)
-        restart = np.zeros(len(start), bool)
-        # The short probe held down to the window's begin: search the whole window.
-        whole = holds & short & (place == start)
-        short[whole] = False
-        place[whole] = start[whole] + window
-        restart |= whole
-        # The whole search went past the window's begin and ended there, or at the sequence's begin: all windows in it.
-        ended = ~short & ~whole & (place <= start) & (~holds | (place == begin))
-        for k in np.flatnonzero(ended).tolist():
-            found[place[k] : start[k] + 1] = True
-        # A probe failed: windows from its end - window + 1 on to this one hold it. A whole search failed: only this one.
-        missed = ~holds & ~ended & ~restart
-        start = np.where(ended, place - 1, np.where(missed, np.where(short, start + PROBE - window - 1, start - 1), start))
-        fresh = ended | missed
-        short = np.where(fresh, True, short)
-        place = np.where(fresh, start + PROBE, place)
-        restart |= fresh
-        low, high = np.where(restart, 0, low), np.where(restart, index.n, high)
-        live = start >= begin
-        if not live.all():
-            begin, start, short, place, low, high = (x[live] for x in (begin, start, short, place, low, high))
-    return found
+        holds = index.weight_of(low, high) >= 2
+        going = holds & (place > begin)
+        on, off = np.flatnonzero(going), np.flatnonzero(~going)
+        if len(on):
+            place[on] -= 1
+            low[on], high[on] = index.step(low[on], high[on], codes[place[on]])
+        if not len(off):
+            continue
+        held = np.where(holds[off], place[off], place[off] + 1)
+        whole = held <= start[off]
+        np.add.at(edges, held[whole], 1)
+        np.add.at(edges, start[off][whole] + 1, -1)
+        # Left are the windows before the searched one or its match, and those after it or after a failure.
+        begins = np.concatenate([begin[off], np.where(whole, start[off] + 1, held)])
+        ends = np.concatenate([np.minimum(held, start[off]), end[off]])
+        halves = np.concatenate([np.ones(len(off), bool), whole & half[off]])
+        starts = np.concatenate([begins[: len(off)], np.where(whole, np.minimum(begins[len(off) :] + window, ends[len(off) :]) - 1, held)])
+        starts = np.where(halves, (begins + ends) // 2, starts)
+        left = np.flatnonzero(begins < ends)
+        places = starts[left] + window - 1
+        old = (begin[on], end[on], start[on], half[on], place[on], low[on], high[on])
+        new = (begins[left], ends[left], starts[left], halves[left], places, *index.single(codes[places]))
+        begin, end, start, half, place, low, high = (np.concatenate(pair) for pair in zip(old, new))
+    return np.cumsum(edges[:-1]) > 0

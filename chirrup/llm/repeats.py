@@ -20,7 +20,7 @@ from pyspark.sql.functions import arrow_udf
 from chirrup.llm.common import stored, tasks, text_key, text_or_empty
 from chirrup.llm.fm_index import FmIndex, repeated_windows
 from chirrup.llm.pretokens import chunks, text_buffers
-from chirrup.llm.words import grams, hashed_words, mixed, within, word_spans
+from chirrup.llm.words import coded_words, grams, hashed_words, mixed, within, word_spans
 
 WINDOW = 35
 GRAM = 8
@@ -89,12 +89,12 @@ def _search(gram_rows: list[tuple], window: int) -> Iterator[pa.RecordBatch]:
     distinct: dict[bytes, list[int]] = {}
     for k, row in enumerate(gram_rows):
         distinct.setdefault(row[4], []).append(k)
-    split = [words.split(b" ") for words in distinct]
-    codes: dict[bytes, int] = {}
-    flat = np.fromiter((codes.setdefault(word, len(codes) + 1) for words in split for word in words), np.int32)
-    sizes = np.fromiter(map(len, split), np.int64, len(split))
-    weights = np.fromiter((sum(gram_rows[k][3] for k in owners) for owners in distinct.values()), np.int64, len(split))
-    first = np.append(0, np.cumsum(sizes))
+    offsets = np.append(0, np.cumsum(np.fromiter(map(len, distinct), np.int64, len(distinct))))
+    data = np.frombuffer(b"".join(distinct), np.uint8)
+    begins, ends, first = word_spans(data, offsets)
+    flat = coded_words(data, begins, ends)[0] + 1
+    sizes = np.diff(first)
+    weights = np.fromiter((sum(gram_rows[k][3] for k in owners) for owners in distinct.values()), np.int64, len(distinct))
     joined = np.insert(flat, first[1:], 0)
     index = FmIndex(joined, np.insert(np.repeat(weights, sizes), first[1:], 0), window)
     repeated = repeated_windows(index, flat, first, window)

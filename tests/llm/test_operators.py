@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from chirrup.llm import bpe_codec, near_duplicates, packing, pii, quality_crf, quality_rules, repeats, token_counts
 from chirrup.llm.common import stored
+from chirrup.llm.fm_index import FmIndex, repeated_windows
 from tests.llm import plain
 
 JSON = public_tokenizers.path("byte_bpe_50k.json")
@@ -192,6 +193,30 @@ def test_own_columns_with_the_names_of_helpers_stay(spark):
     assert quality_crf.fit(docs, labels).prior == 0.5
 
 
+def test_windows_are_searched_in_few_steps(monkeypatch):
+    """A repeated passage with changed words and one long copy: the steps do not grow with the windows of a sequence."""
+    rng = np.random.default_rng(4)
+    passage = rng.integers(1, 500, 60)
+    sequences = [np.concatenate([rng.integers(1, 5000, 20), passage, rng.integers(1, 5000, 20)]) for _ in range(30)]
+    for own in sequences[::3]:
+        own[rng.integers(0, len(own), 2)] = 7
+    sequences += [rng.integers(1, 5000, n) for n in (3, 35, 36)] + [np.tile([1, 2, 3], 40), np.full(90, 5)]
+    sequences += [rng.integers(1, 5000, 2000)] * 2
+    weights = rng.integers(1, 3, len(sequences)) * (np.arange(len(sequences)) % 5 == 0) + 1
+    flat, first = np.concatenate(sequences), np.append(0, np.cumsum([len(own) for own in sequences]))
+    joined = np.insert(flat, first[1:], 0)
+    index = FmIndex(joined, np.insert(np.repeat(weights, np.diff(first)), first[1:], 0), 35)
+    held = [(a + i, own[i : i + 35].tobytes(), weight) for own, a, weight in zip(sequences, first, weights) for i in range(len(own) - 34)]
+    uses = Counter()
+    for _, words, weight in held:
+        uses[words] += weight
+    calls, step = [], index.step
+    monkeypatch.setattr(index, "step", lambda *lanes: calls.append(len(lanes[0])) or step(*lanes))
+    got = repeated_windows(index, flat, first, 35)
+    assert np.flatnonzero(got).tolist() == [place for place, words, _ in held if uses[words] > 1]
+    assert len(calls) < 500
+
+
 def test_repeats_of_nothing(empty):
     assert repeats.remove_repeats(empty).count() == 0
 
