@@ -8,8 +8,9 @@ from pyspark.errors import StreamingQueryException
 
 from chirrup.operators.bronze import bronze
 from chirrup.sources.records import read_tweets
-from chirrup.streaming.paced import PacedReader
-from chirrup.streaming.replay import keyed_records, replay, replay_in_order
+from chirrup.streaming import paced
+from chirrup.streaming.paced import PacedReader, Part, paced_lines
+from chirrup.streaming.replay import keyed_records, numbered, replay, replay_in_order
 from tests.fixture import TWEETS, bronze_df, predictions_df, rows, tweets_df
 from tests.test_records import KEYS, lines
 
@@ -214,6 +215,62 @@ def test_sequences_follow_the_input_over_batches_and_restarts(spark, tmp_path):
     assert max(sizes) < 1.5 * min(sizes)
 
 
+def test_many_keys_are_numbered_by_few_calls(spark, tmp_path):
+    """The state has a row for each bucket, not for each key; keys meet in buckets, and one of them is empty."""
+    key = lambda i: "" if i % 9 == 0 else f"k{i % 500}"
+    paths = [str(tmp_path / name) for name in ("in", "out", "checkpoint")]
+    write_records(tmp_path / "in", "a.json", range(1300), time=1000, Date=key)
+    lines = paced_lines(spark, paths[0], 900)
+    sent = numbered(keyed_records(lines, "Date", "time", "file", "record"), buckets=16)
+    query = sent.writeStream.format("json").option("checkpointLocation", paths[2]).start(paths[1])
+    query.processAllAvailable()
+    (state,) = query.lastProgress["stateOperators"]
+    query.stop()
+    assert state["numRowsTotal"] <= 16
+    found = defaultdict(list)
+    for row in spark.read.schema("key string, value string, lane int, sequence long").json(paths[1]).collect():
+        assert row.lane == 0
+        found[row.key].append((row.sequence, json.loads(row.value)["id"]))
+    want = defaultdict(list)
+    for i in range(1300):
+        want[key(i)].append((len(want[key(i)]), i))
+    assert {name: sorted(own) for name, own in found.items()} == want
+
+
+def test_a_missing_key_is_a_key(spark, tmp_path):
+    """A null key has numbers of its own over the batches."""
+    write_records(tmp_path / "in", "a.json", range(90), time=1000)
+    lines = paced_lines(spark, str(tmp_path / "in"), 40)
+    keyed = lines.selectExpr("if(record % 2 = 0, NULL, 'NaN') AS key", "value", "time", "file", "record")
+    query = numbered(keyed).writeStream.format("json").option("checkpointLocation", str(tmp_path / "checkpoint")).start(str(tmp_path / "out"))
+    query.processAllAvailable()
+    query.stop()
+    rows = spark.read.schema("key string, record long, sequence long").json(str(tmp_path / "out")).collect()
+    assert sorted((row.record, row.key, row.sequence) for row in rows) == [(i, "NaN" if i % 2 else None, i // 2) for i in range(90)]
+
+
+@pytest.mark.parametrize("block", [1, 2, 5])
+@pytest.mark.parametrize("content", ["", "\n \n", "abc", "a\r\nbcdefg\r\n\r\nc", "\n\na\n \n" * 5 + " ", "\u00e9\u6f22\n" * 9])
+@pytest.mark.parametrize("records, per_task", [(1, 1), (2, 3), (100, 2)])
+def test_lines_may_pass_the_blocks_of_the_driver(tmp_path, monkeypatch, content, records, per_task, block):
+    (tmp_path / "x").write_text(content, newline="")
+    (tmp_path / "y").write_text(content, newline="")
+
+    def plan():
+        reader, planned, start = PacedReader(str(tmp_path), records, per_task), [], None
+        while True:
+            begin, start = start or reader.initialOffset(), reader.latestOffset()
+            parts = reader.partitions(begin, start)
+            planned.append((start, [(part.place, part.end) for part in parts]))
+            if start == begin:
+                return planned, [v for _, own in planned for place, end in own for rows in reader.read(Part(place, end)) for v in rows.column(0).to_pylist()]
+
+    planned, got = plan()
+    monkeypatch.setattr(paced, "BLOCK", block)
+    assert plan() == (planned, got)
+    assert got == [line.strip("\r") for line in (content + "\n" + content).split("\n") if line.strip()]
+
+
 BAD = {
     '{"id": 5, "tweet":': "no JSON", "{'id': 5}": "no JSON", "no record": "no JSON", '{"id": 5} and more': "no JSON", "null": "not one record",
     "[5]": "no JSON", '{"id": 5}, {"id": 6}': "not one record", '{"id": 5}]': "not one record", "],[": "not one record",
