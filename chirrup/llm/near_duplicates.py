@@ -31,7 +31,11 @@ SPARE = 1.25
 # Rounds in which each set is compared with one other set of its bucket; the rest is compared exhaustively in blocks.
 STAR_ROUNDS = 1
 BLOCK = 1024
+
+# A sketch has a power of two of cells, so many at least, and on average at most `LOAD` shingles in one. Unrelated sets of
+# over 26 shingles a cell may seem linked. Blocks take a coarser one, as a set is in many of them.
 CELLS = 256
+LOAD, BLOCK_LOAD, MOST_BLOCK_CELLS = 4, 16, 4096
 
 _SETS = "doc_id long, n_shingles long, node long, check long, text_key binary"
 _SIGNATURES = "signature long, node long"
@@ -168,16 +172,47 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(keep, pa.bool_())], ["a", "b", "linked"])
 
 
+def _folded(cells: np.ndarray, n: int) -> np.ndarray:
+    """The sketch with `n` cells: each is the sum of cells that lie side by side."""
+    return cells.reshape(n, -1).sum(1, dtype=np.int32)
+
+
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How many shingles fall into each of `CELLS` cells, at most 255."""
+    """How many shingles fall into each cell, at most 255; `coarse` has fewer cells."""
     for batch in batches:
         for a, b, sets in sets_of(batch.column("text")):
-            cell = sets.text * CELLS + (sets.shingles >> np.uint64(56)).astype(np.int64)
-            counts = np.minimum(np.bincount(cell, minlength=(b - a) * CELLS), 255).astype(np.uint8).reshape(-1, CELLS)
+            bits, low = (np.log2(np.maximum(sets.sizes / load, CELLS)) for load in (LOAD, BLOCK_LOAD))
+            bits = np.ceil(bits).astype(np.int64)
+            coarse = np.minimum(1 << np.ceil(low).astype(np.int64), MOST_BLOCK_CELLS).tolist()
+            base = np.append(0, np.cumsum(1 << bits))
+            cell = base[sets.text] + (sets.shingles >> (64 - bits)[sets.text].astype(np.uint64)).astype(np.int64)
+            counts = np.minimum(np.bincount(cell, minlength=int(base[-1])), 255).astype(np.uint8)
+            fine = [counts[x:y] for x, y in zip(base[:-1].tolist(), base[1:].tolist())]
+            folded = [np.minimum(_folded(cells, n), 255).astype(np.uint8) for cells, n in zip(fine, coarse)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node").slice(a, b - a), pa.array(sets.sizes.astype(np.int64)), pa.array([x.tobytes() for x in counts], pa.binary())],
-                ["node", "n", "cells"],
-            )
+                [
+                    batch.column("node").slice(a, b - a), pa.array(sets.sizes.astype(np.int64)),
+                    *(pa.array([x.tobytes() for x in column], pa.binary()) for column in (fine, folded)),
+                ],
+                ["node", "n", "cells", "coarse"],
+            )
+
+
+def _close(apart: np.ndarray | int, sizes: np.ndarray | int) -> np.ndarray | bool:
+    """Linked sets differ in at most a fifth of their union, that is a ninth of the sum of their sizes."""
+    return 9 * apart <= sizes
+
+
+def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs that may be linked, by sizes and cells."""
+    for batch in batches:
+        n, m = (batch.column(name).to_numpy() for name in ("n_a", "n_b"))
+        keep = 100 * np.minimum(n, m) >= LEAST_PERCENT * np.maximum(n, m)
+        for k in np.flatnonzero(keep).tolist():
+            one, two = (np.frombuffer(batch.column(name)[k].as_buffer(), np.uint8) for name in ("cells_a", "cells_b"))
+            least = min(len(one), len(two))
+            keep[k] = _close(np.abs(_folded(one, least) - _folded(two, least)).sum(), n[k] + m[k])
+        yield batch.select(["a", "b"]).filter(pa.array(keep))
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,7 +223,13 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             return
         node, component, n = (np.array([row[k] for row in rows]) for k in (4, 5, 6))
         side = np.array([row[3] for row in rows])
-        cells = np.frombuffer(b"".join(row[7] for row in rows), np.uint8).reshape(-1, CELLS).astype(np.int16)
+        sketches = [np.frombuffer(row[7], np.uint8) for row in rows]
+        counts = np.array([len(x) for x in sketches])
+        # Sets of near sizes have the same number of cells, or one has twice as many, which are folded.
+        cells = {c: np.zeros((len(rows), c), np.int16) for c in set(counts.tolist())}
+        for c, at in cells.items():
+            for k in np.flatnonzero((counts == c) | (counts == 2 * c)).tolist():
+                at[k] = _folded(sketches[k], c) if counts[k] > c else sketches[k]
         across = rows[0][1] != rows[0][2]
         for k in range(len(rows)):
             if across and side[k]:
@@ -196,10 +237,12 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             others = np.flatnonzero(side == 1) if across else np.arange(k + 1, len(rows))
             least, most = np.minimum(n[others], n[k]), np.maximum(n[others], n[k])
             others = others[(component[others] != component[k]) & (100 * least >= LEAST_PERCENT * most)]
-            apart = np.abs(cells[others] - cells[k]).sum(1)
-            # Linked sets differ in at most a fifth of their union, that is a ninth of the sum of their sizes.
-            for j in others[9 * apart <= n[others] + n[k]].tolist():
-                yield (int(node[k]), int(node[j])) if node[k] < node[j] else (int(node[j]), int(node[k]))
+            common = np.minimum(counts[others], counts[k])
+            for c, at in cells.items():
+                near = others[common == c]
+                apart = np.abs(at[near] - at[k]).sum(1)
+                for j in near[_close(apart, n[near] + n[k])].tolist():
+                    yield (int(node[k]), int(node[j])) if node[k] < node[j] else (int(node[j]), int(node[k]))
 
     held: list[tuple] = []
     out: set[tuple[int, int]] = set()
@@ -234,8 +277,12 @@ def contracted(edges: DataFrame, labels: DataFrame) -> DataFrame:
     return labels
 
 
-def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """`a, b, linked`."""
+def _verify(pairs: DataFrame, texts: DataFrame, sketches: DataFrame) -> DataFrame:
+    """`a, b, linked`; pairs that their sketches tell apart are left out, before they take their texts along."""
+    sides = [sketches.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"), F.col("cells").alias(f"cells_{end}")) for end in ("a", "b")]
+    pairs = stored_alone(pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(_likely, "a long, b long"))
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    texts = stored_alone(texts.join(ends, "node", "left_semi"))
     one = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     two = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     return stored_alone(pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b").mapInArrow(_verified, "a long, b long, linked boolean"))
@@ -267,6 +314,7 @@ def set_components(texts: DataFrame, nodes: DataFrame) -> DataFrame:
     # The texts find their sets by key, without a further pass that hashes their words; copies meet before the join.
     distinct = texts.groupBy("text_key").agg(F.first("text").alias("text"))
     members = stored_alone(distinct.join(nodes.join(labels.select("node"), "node", "left_semi"), "text_key").select("node", "text"))
+    sketches = stored_alone(members.mapInArrow(_sketched, "node long, n long, cells binary, coarse binary"))
     done = None
     for _ in range(STAR_ROUNDS):
         rows = shared.join(labels.join(degrees, "node"), "node")
@@ -276,26 +324,30 @@ def set_components(texts: DataFrame, nodes: DataFrame) -> DataFrame:
         if done is not None:
             offers = offers.join(done.select("a", "b"), ["a", "b"], "left_anti")
         best = offers.groupBy("b").agg(F.max(F.struct("times", "a")).alias("best")).select(F.col("best.a").alias("a"), "b")
-        checked = _verify(best, members)
+        checked = _verify(best, members, sketches)
         labels = _merged(checked, labels)
         done = checked if done is None else done.unionByName(checked)
     rows = shared.join(labels, "node")
     span = rows.select("*", F.min("component").over(bucket).alias("low"), F.max("component").over(bucket).alias("high"))
     open_rows = stored_alone(span.filter("low <> high").select("signature", "node", "component"))
-    needed = members.join(open_rows.select("node").distinct(), "node", "left_semi")
-    sketches = stored_alone(needed.mapInArrow(_sketched, "node long, n long, cells binary"))
-    placed = open_rows.join(sketches, "node").select(
-        "*", (F.row_number().over(bucket.orderBy("n", "node")) - 1).alias("place"), F.count("*").over(bucket).alias("size")
-    )
+    ordered = bucket.orderBy("n", "node")
+    sized = open_rows.join(sketches.select("node", "n"), "node").select("*", F.lag("n").over(ordered).alias("before"), F.lead("n").over(ordered).alias("after"))
+    # Sets of no size near another's of their bucket meet none.
+    near = sized.filter(f"100 * before >= {LEAST_PERCENT} * n OR 100 * n >= {LEAST_PERCENT} * after").drop("before", "after")
+    placed = near.select("*", (F.row_number().over(ordered) - 1).alias("place"), F.count("*").over(bucket).alias("size"))
     blocks = F.sequence(F.lit(0).cast("long"), F.expr(f"(size - 1) div {BLOCK}"))
     dealt = placed.withColumn("own", F.expr(f"place div {BLOCK}")).withColumn("other", F.explode(blocks))
     dealt = dealt.select(
         "signature", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
-        (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "component", "n", "cells",
-    ).repartition(n_parts, "signature", "low", "high").sortWithinPartitions("signature", "low", "high")
+        (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "component", "n",
+    )
+    # The cells come last, so that one shuffle only has them once for each row.
+    dealt = dealt.join(sketches.select("node", F.col("coarse").alias("cells")), "node")
+    dealt = dealt.select("signature", "low", "high", "side", "node", "component", "n", "cells")
+    dealt = dealt.repartition(n_parts, "signature", "low", "high").sortWithinPartitions("signature", "low", "high")
     pairs = dealt.mapInArrow(_compared, "a long, b long").distinct()
     tried = done.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    checked = _verify(pairs.join(tried, ["a", "b"], "left_anti"), members)
+    checked = _verify(pairs.join(tried, ["a", "b"], "left_anti"), members, sketches)
     return _merged(checked, labels)
 
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chirrup.llm import bpe_codec, near_duplicates, packing, pii, quality_crf, quality_rules, repeats, token_counts
-from chirrup.llm.common import stored
+from chirrup.llm.common import stored, stored_alone
 from chirrup.llm.fm_index import FmIndex, repeated_windows
 from tests.llm import plain
 
@@ -162,6 +162,20 @@ def test_near_duplicates_without_a_common_original(spark):
     assert counted(got.collect()) == counted(plain.classes(rows))
 
 
+def test_near_duplicates_compare_few_long_texts(spark, monkeypatch):
+    """Long texts that share a quarter meet in many buckets, but hardly a pair takes its texts along."""
+    frames = []
+    monkeypatch.setattr(near_duplicates, "stored_alone", lambda df: frames.append(stored_alone(df)) or frames[-1])
+    passage = " ".join(f"p{k}" for k in range(2000))
+    rows = [(k, " ".join([passage, *(f"t{k}_{j}" for j in range(6000))])) for k in range(24)]
+    rows.append((100, rows[7][1].replace("t7_3000", "other")))
+    # Sizes on both sides of a change in the number of cells.
+    rows += [(200 + k, " ".join(f"s{j}" for j in range(4 + 1024 + 2 * k))) for k in range(-3, 4)]
+    got = near_duplicates.components(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert counted(got.collect()) == counted(plain.classes(rows))
+    assert sum(df.count() for df in frames if "linked" in df.columns) < 24
+
+
 @pytest.mark.parametrize("hot_runs", [3, repeats.HOT_RUNS])
 def test_repeats(table, documents, hot_runs):
     got = repeats.remove_repeats(table, hot_runs=hot_runs)
