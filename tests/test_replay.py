@@ -1,16 +1,21 @@
 import json
 import os
 import shutil
-from collections import defaultdict
+from collections import Counter, defaultdict
+from datetime import datetime
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import StreamingQueryException
 
+import __spark_entry__ as spark_entry
 from chirrup.operators.bronze import bronze
 from chirrup.sources.records import read_tweets
 from chirrup.streaming import paced
 from chirrup.streaming.paced import PacedReader, Part, paced_lines
 from chirrup.streaming.replay import keyed_records, numbered, replay, replay_in_order
+from tests.compare import mismatch
 from tests.fixture import TWEETS, bronze_df, predictions_df, rows, tweets_df
 from tests.test_records import KEYS, lines
 
@@ -215,6 +220,26 @@ def test_sequences_follow_the_input_over_batches_and_restarts(spark, tmp_path):
     assert max(sizes) < 1.5 * min(sizes)
 
 
+def test_the_query_deals_records_without_a_user_over_lanes(spark, tmp_path):
+    """The query `replay_in_order`, over events of which two thirds have no user, equals its SQL."""
+    n = 600
+    events = {
+        "event_id": pa.array([*range(n - 1), None], pa.int64()), "ts": pa.array([datetime(2024, 1, 1)] * n, pa.timestamp("us")),
+        "user_id": pa.array([k % 5 for k in range(n)], pa.int64()), "event_type": ["view"] * n,
+        "value": [50.0 if k % 3 == 0 else 0.5 for k in range(n)],
+    }
+    numbers = lambda kind, *names: {name: pa.array([1, 2], kind) for name in names}
+    documents = numbers(pa.int64(), "doc_id") | {"text": ["a", "b"]}
+    labels = numbers(pa.int64(), "doc_id") | numbers(pa.int32(), "quality", "toxic")
+    for name, columns in (("events", events), ("documents", documents), ("labels", labels)):
+        pq.write_table(pa.table(columns), tmp_path / f"{name}.parquet")
+    found = spark_entry.queries()["replay_in_order"](spark, str(tmp_path)).collect()
+    sizes = Counter(row.lane for row in found if row.key == "default")
+    assert len(found) == n and set(sizes) == set(range(8)) and max(sizes.values()) < 100
+    assert {row.lane for row in found if row.key != "default"} == {0}
+    assert mismatch(spark, str(tmp_path), "replay_in_order") is None
+
+
 def test_many_keys_are_numbered_by_few_calls(spark, tmp_path):
     """The state has a row for each bucket, not for each key; keys meet in buckets, and one of them is empty."""
     key = lambda i: "" if i % 9 == 0 else f"k{i % 500}"
